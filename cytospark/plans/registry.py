@@ -252,3 +252,113 @@ def q_count_events(spark, sf):
   FROM line_events) WHERE rn <= 1000""", "line_events"))
 def q_sample_events(spark, sf):
     return transform.sample_events(fx.line_events(spark, sf), 1000, seed=666).select("sample_id", "event_id")
+
+
+# ------------------------------------------------------------------ D1, D2, D6
+from cytospark.operators import cutpoints  # noqa: E402
+
+
+def _baseline_sql(src: str, dst: str) -> str:
+    """SQL twin of the D1 histogram filter, per sample, on ``src(sample_id, v)``."""
+    return f"""{dst}_st AS (SELECT sample_id, min(v) AS mn, max(v) AS mx, count(*) AS n FROM {src} GROUP BY sample_id),
+{dst}_b AS (SELECT s.sample_id, s.v, t.mn, (t.mx - t.mn) / 99 AS w, t.n,
+    least(greatest(ceil((s.v - t.mn) / ((t.mx - t.mn) / 99)), 1), 99) AS bin FROM {src} s JOIN {dst}_st t USING (sample_id)),
+{dst}_h AS (SELECT sample_id, bin, count(*) AS c, any_value(n) AS n FROM {dst}_b GROUP BY sample_id, bin),
+{dst}_r AS (SELECT sample_id, min(bin) AS lo, max(bin) AS hi FROM {dst}_h WHERE c > greatest(4, n / 99 / 10) GROUP BY sample_id),
+{dst} AS (SELECT b.sample_id, b.v FROM {dst}_b b JOIN {dst}_r r USING (sample_id)
+    WHERE b.v >= b.mn + (r.lo - 1) * b.w AND b.v < b.mn + (r.hi - 1) * b.w)"""
+
+
+def _stream_long(spark, sf):
+    return fx.stream_events(spark, sf).withColumnRenamed("value", "v")
+
+
+@register("baseline_cut", with_views("", "stream_events").rstrip() + ",\n"
+          + "src AS (SELECT sample_id, event_id, value AS v FROM stream_events WHERE value IS NOT NULL),\n"
+          + _baseline_sql("src", "b1").replace("SELECT b.sample_id, b.v FROM", "SELECT b.sample_id, b.v, b.event_id FROM")
+          .replace("SELECT s.sample_id, s.v, t.mn", "SELECT s.sample_id, s.v, s.event_id, t.mn")
+          + "\nSELECT sample_id, event_id FROM b1")
+def q_baseline_cut(spark, sf):
+    return cutpoints.baseline_cut(fx.stream_events(spark, sf), "value", ["sample_id"]).select("sample_id", "event_id")
+
+
+BISECT_SQL = with_views("", "stream_events").rstrip() + ",\n" + f"""samp AS (SELECT sample_id, value AS v FROM (
+    SELECT sample_id, event_id, value, row_number() OVER (PARTITION BY sample_id
+      ORDER BY md5(CAST(event_id AS VARCHAR) || '|666'), event_id) AS rn FROM stream_events) WHERE rn <= 2000 AND value IS NOT NULL),
+{_baseline_sql('samp', 'b1')},
+z AS (SELECT sample_id, v, row_number() OVER w AS p, sum(v) OVER w AS cp,
+    count(*) OVER (PARTITION BY sample_id) AS n, sum(v) OVER (PARTITION BY sample_id) AS tot
+  FROM b1 WINDOW w AS (PARTITION BY sample_id ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+st AS (SELECT sample_id, min(v) AS mn, max(v) AS mx FROM b1 GROUP BY sample_id),
+cuts AS (SELECT sample_id, k, mn + k * ((mx - mn) / 99) AS cut FROM st, range(100) t(k) WHERE mn + k * ((mx - mn) / 99) > 0),
+cm AS (SELECT c.sample_id, c.k, c.cut, count(z.v) AS m FROM cuts c LEFT JOIN z ON z.sample_id = c.sample_id AND z.v <= c.cut
+  GROUP BY c.sample_id, c.k, c.cut),
+ms AS (SELECT DISTINCT c.sample_id, c.m, coalesce((SELECT max(cp) FROM z WHERE z.sample_id = c.sample_id AND z.p <= c.m), 0) AS c_m
+  FROM cm c),
+sc AS (SELECT ms.sample_id, ms.m, CASE WHEN ms.m = 0 OR ms.m = max(z.n) THEN -2 ELSE avg(
+    CASE WHEN z.p <= ms.m THEN
+      CASE WHEN ms.m = 1 THEN 0 ELSE
+        (SELECT CASE WHEN greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END FROM (SELECT
+          (z.v * (z.p - 1) - (z.cp - z.v) + (ms.c_m - z.cp) - z.v * (ms.m - z.p)) / (ms.m - 1) AS a,
+          ((z.tot - ms.c_m) - z.v * (z.n - ms.m)) / (z.n - ms.m) AS b)) END
+    ELSE
+      CASE WHEN z.n - ms.m = 1 THEN 0 ELSE
+        (SELECT CASE WHEN greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END FROM (SELECT
+          (z.v * (z.p - 1 - ms.m) - (z.cp - z.v - ms.c_m) + (z.tot - z.cp) - z.v * (z.n - z.p)) / (z.n - ms.m - 1) AS a,
+          (z.v * ms.m - ms.c_m) / ms.m AS b)) END
+    END) END AS score
+  FROM ms JOIN z ON z.sample_id = ms.sample_id GROUP BY ms.sample_id, ms.m),
+best AS (SELECT sample_id, m, score FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY score DESC, m) AS r FROM sc) WHERE r = 1)
+SELECT b.sample_id, round(min(c.cut), 6) AS cutoff, round(any_value(b.score), 6) AS silhouette
+  FROM best b JOIN cm c ON c.sample_id = b.sample_id AND c.m = b.m GROUP BY b.sample_id"""
+
+
+@register("bisect_silhouette", BISECT_SQL)
+def q_bisect(spark, sf):
+    r = cutpoints.bisect(fx.stream_events(spark, sf), ["value"], max_sample=2000, use_baseline=True, min_x=0.0)
+    return r.select("sample_id", r6(F.col("cutoff")).alias("cutoff"), r6(F.col("silhouette")).alias("silhouette"))
+
+
+BLANK_THRESHOLD = 0.05   # discounts of 0 make up about 1/11 of the lines: disc is blank at this threshold
+
+
+@register("blank_channels", with_views(" UNION ALL ".join(
+    f"SELECT sample_id, '{c}' AS channel, round(sum(CASE WHEN {c} = 0 THEN 1 ELSE 0 END) / count(*), 6) AS zero_share, "
+    f"(sum(CASE WHEN {c} = 0 THEN 1 ELSE 0 END) / count(*) >= {BLANK_THRESHOLD} OR count({c}) = 0 "
+    f"OR (coalesce(stddev_samp({c}) <= 1.5e-8, false) AND count({c}) = count(*))) AS blank "
+    f"FROM line_events GROUP BY sample_id" for c in LC), "line_events"))
+def q_blank_channels(spark, sf):
+    b = cutpoints.blank_channels(fx.line_events(spark, sf), LC, BLANK_THRESHOLD)
+    return b.select("sample_id", "channel", r6(F.col("zero_share")).alias("zero_share"), "blank")
+
+
+@register("mean_cutoffs", with_views(" UNION ALL ".join(
+    f"""SELECT sample_id, '{c}' AS channel, CAST(row_number() OVER (PARTITION BY sample_id ORDER BY cutoff) AS INTEGER) AS cut_no,
+  round(cutoff, 6) AS cutoff FROM (
+    SELECT sample_id, unnest([m, t1, t2]) AS cutoff FROM (
+      SELECT e.sample_id, any_value(s.m) AS m, avg(CASE WHEN e.{c} > s.m THEN e.{c} END) AS t1,
+             avg(CASE WHEN e.{c} <= s.m THEN e.{c} END) AS t2
+      FROM line_events e JOIN (SELECT sample_id, avg({c}) AS m FROM line_events GROUP BY 1) s USING (sample_id)
+      GROUP BY e.sample_id))""" for c in LC), "line_events"))
+def q_mean_cutoffs(spark, sf):
+    m = cutpoints.mean_cutoffs(fx.line_events(spark, sf), LC, bins=4)
+    return m.select("sample_id", "channel", "cut_no", r6(F.col("cutoff")).alias("cutoff"))
+
+
+# rows-only: the silhouette search has no SQL twin beyond bisect; checked by tests on planted data
+@register("find_cutoffs")
+def q_find_cutoffs(spark, sf):
+    ev = transform.arcsinh(fx.line_events(spark, sf), b=1 / 8, channels=LC)
+    return cutpoints.find_cutoffs(ev, LC, bins=4, max_sample=2000)
+
+
+@register("multisect")
+def q_multisect(spark, sf):
+    return cutpoints.multisect(fx.stream_events(spark, sf), ["value"], bins=3, max_sample=2000)
+
+
+@register("augment")
+def q_augment(spark, sf):
+    from cytospark.plans.pipeline import augment
+    lab, _ = augment(fx.line_events(spark, sf), b=1 / 8, channels=LC)
+    return lab.select("sample_id", "event_id", *[pm(c) for c in LC])
