@@ -362,3 +362,73 @@ def q_augment(spark, sf):
     from cytospark.plans.pipeline import augment
     lab, _ = augment(fx.line_events(spark, sf), b=1 / 8, channels=LC)
     return lab.select("sample_id", "event_id", *[pm(c) for c in LC])
+
+
+# ------------------------------------------------------------------ B
+from cytospark.operators import panel as pnl  # noqa: E402
+
+_NF = 5   # files in panel_fx: p_size % 5
+_RANKED = "ranked AS (SELECT *, dense_rank() OVER (ORDER BY sample_id) AS fno FROM panel_fx)"
+_WIDE = ("wide AS (SELECT name, " + ", ".join(f"max(CASE WHEN fno = {i} THEN \"desc\" END) AS desc_{i:02d}" for i in range(1, _NF + 1))
+         + " FROM ranked GROUP BY name)")
+
+
+def _panel_sql(sql: str) -> str:
+    return with_views("", "panel_fx").rstrip() + ",\n" + _RANKED + ",\n" + _WIDE + "\n" + sql
+
+
+_FREQ = ("freq AS (SELECT name, d AS \"desc\", count(*) AS freq, CAST(row_number() OVER (PARTITION BY name ORDER BY count(*) DESC, "
+         "d ASC NULLS LAST) AS INTEGER) AS rank FROM (" + " UNION ALL ".join(
+             f"SELECT name, desc_{i:02d} AS d FROM wide" for i in range(1, _NF + 1)) + ") GROUP BY name, d)")
+
+
+@register("channels_by_sample", _panel_sql("SELECT * FROM wide"))
+def q_channels_by_sample(spark, sf):
+    return pnl.channels_by_sample(fx.panel_fx(spark, sf))
+
+
+@register("full_descriptions", _panel_sql("SELECT name, " + ", ".join(
+    f"coalesce(desc_{i:02d}, name) AS desc_{i:02d}" for i in range(1, _NF + 1)) + " FROM wide"))
+def q_full_descriptions(spark, sf):
+    return pnl.channels_by_sample(fx.panel_fx(spark, sf), full=True)
+
+
+@register("desc_frequency", _panel_sql(", " + _FREQ + " SELECT * FROM freq").replace("\n, freq AS", ",\nfreq AS"))
+def q_desc_frequency(spark, sf):
+    return pnl.desc_frequency(fx.panel_fx(spark, sf))
+
+
+@register("desc_remap", _panel_sql(", " + _FREQ + """ SELECT name, "desc" AS new_desc FROM freq WHERE rank = 1
+  AND name IN (SELECT name FROM freq GROUP BY name HAVING count(*) > 1)""").replace("\n, freq AS", ",\nfreq AS"))
+def q_desc_remap(spark, sf):
+    return pnl.desc_remap(fx.panel_fx(spark, sf))
+
+
+@register("noncommon_channels", _panel_sql("SELECT name, n_descs FROM (SELECT name, CAST(count(DISTINCT d) AS INTEGER) AS n_descs FROM ("
+                                           + " UNION ALL ".join(f"SELECT name, coalesce(desc_{i:02d}, name) AS d FROM wide"
+                                                                for i in range(1, _NF + 1))
+                                           + ") GROUP BY name) WHERE n_descs > 1"))
+def q_noncommon(spark, sf):
+    return pnl.noncommon_channels(fx.panel_fx(spark, sf))
+
+
+GUESS_RE = {"cytof": "brushed|polished"}
+GUESS_MARKER = r".*? (.*)"
+
+
+@register("guess_channels", _panel_sql(f"""SELECT name,
+  CASE WHEN NOT regexp_matches(coalesce(desc_01, name), '{GUESS_RE['cytof']}', 'i') THEN
+    CASE WHEN regexp_matches(desc_01, '{GUESS_MARKER}') THEN regexp_extract(desc_01, '{GUESS_MARKER}', 1) END
+  ELSE desc_01 END AS description,
+  CASE WHEN NOT regexp_matches(coalesce(desc_01, name), '{GUESS_RE['cytof']}', 'i') THEN 'X' END AS use FROM wide"""))
+def q_guess_channels(spark, sf):
+    return pnl.guess_channels(fx.panel_fx(spark, sf), "cytof", GUESS_RE, GUESS_MARKER)
+
+
+@register("reconcile", _panel_sql(", " + _FREQ + """,
+remap AS (SELECT name, "desc" AS new_desc FROM freq WHERE rank = 1 AND name IN (SELECT name FROM freq GROUP BY name HAVING count(*) > 1))
+SELECT p.sample_id, p.pos, p.name, CASE WHEN r.new_desc IS NOT NULL THEN r.new_desc ELSE p."desc" END AS "desc"
+  FROM panel_fx p LEFT JOIN remap r USING (name)""").replace("\n, freq AS", ",\nfreq AS"))
+def q_reconcile(spark, sf):
+    p = fx.panel_fx(spark, sf)
+    return pnl.reconcile_panel(p, pnl.desc_remap(p))
