@@ -432,3 +432,66 @@ SELECT p.sample_id, p.pos, p.name, CASE WHEN r.new_desc IS NOT NULL THEN r.new_d
 def q_reconcile(spark, sf):
     p = fx.panel_fx(spark, sf)
     return pnl.reconcile_panel(p, pnl.desc_remap(p))
+
+
+# ------------------------------------------------------------------ I
+from cytospark.operators import samples as smp  # noqa: E402
+
+ID_RE = r"[0-9]\.fcs"
+
+
+def _files(spark, sf):
+    return smp.number_files(fx.sample_files(spark, sf))
+
+
+@register("sample_map", with_views("", "sample_files").rstrip() + f""",
+f AS (SELECT file, CAST(dense_rank() OVER (ORDER BY file) AS INTEGER) AS sample_id FROM sample_files),
+x AS (SELECT *, regexp_extract(regexp_extract(file, '([^/\\\\]+)$', 1), '{ID_RE}', 0) AS id0 FROM f)
+SELECT file, sample_id, CASE WHEN count(*) OVER (PARTITION BY id0) > 1
+  THEN printf('%s-%02d', id0, row_number() OVER (PARTITION BY id0 ORDER BY sample_id)) ELSE id0 END AS id FROM x""")
+def q_sample_map(spark, sf):
+    return smp.sample_id_map(_files(spark, sf), ID_RE).select("file", "sample_id", "id")
+
+
+def _supplier_ids(spark, sf):
+    return fx.table(spark, sf, "supplier").select(F.regexp_replace("s_name", "^Supplier#", "").alias("id"))
+
+
+@register("match_metadata", with_views("", "sample_files").rstrip() + """,
+f AS (SELECT file, regexp_replace(regexp_extract(file, '([^/\\\\]+)$', 1), '\\.[^.]*$', '') AS stem FROM sample_files),
+m AS (SELECT regexp_replace(s_name, '^Supplier#', '') AS id FROM supplier),
+d AS (SELECT f.file, f.stem, m.id, levenshtein(f.stem, m.id) AS dist,
+  row_number() OVER (PARTITION BY f.file ORDER BY levenshtein(f.stem, m.id), m.id) AS r FROM f, m)
+SELECT file, stem, id AS meta_id, CAST(dist AS INTEGER) AS distance FROM d WHERE r = 1""")
+def q_match_metadata(spark, sf):
+    files = fx.sample_files(spark, sf).withColumn("stem", smp.file_stem(F.col("file")))
+    return smp.match_metadata(files, _supplier_ids(spark, sf)).select("file", "stem", "meta_id", "distance")
+
+
+@register("impute_metadata", with_views("""SELECT id, "group", round(coalesce(balance, (SELECT quantile_cont(balance, 0.5) FROM covariates)), 6) AS balance,
+  coalesce(segment, (SELECT segment FROM covariates WHERE segment IS NOT NULL GROUP BY segment ORDER BY count(*) DESC, segment LIMIT 1)) AS segment
+  FROM covariates""", "covariates"))
+def q_impute_metadata(spark, sf):
+    m = smp.impute_metadata(fx.covariates(spark, sf), numeric=["balance"], categorical=["segment"])
+    return m.select("id", "group", r6(F.col("balance")).alias("balance"), "segment")
+
+
+@register("metadata_summary", with_views("""SELECT "group", 'balance' AS variable, stat, round(value, 6) AS value FROM (
+  SELECT "group", quantile_cont(balance, 0.25) AS q1, quantile_cont(balance, 0.5) AS median, quantile_cont(balance, 0.75) AS q3,
+    avg(balance) AS mean, CAST(count(balance) AS DOUBLE) AS n FROM covariates GROUP BY 1)
+  UNPIVOT (value FOR stat IN (q1, median, q3, mean, n))
+UNION ALL
+SELECT "group", 'segment=' || coalesce(segment, 'NA') AS variable, stat, round(value, 6) FROM (
+  SELECT "group", segment, CAST(count(*) AS DOUBLE) AS n, count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY "group") AS percent
+  FROM covariates GROUP BY 1, 2) UNPIVOT (value FOR stat IN (n, percent))""", "covariates"))
+def q_metadata_summary(spark, sf):
+    s = smp.summarize_metadata(fx.covariates(spark, sf), "group", numeric=["balance"], categorical=["segment"])
+    return s.withColumn("value", r6(F.col("value")))
+
+
+@register("reference_levels", with_views("""SELECT variable, level, CAST(row_number() OVER (PARTITION BY variable
+  ORDER BY CASE WHEN variable = 'segment' AND level = 'MACHINERY' THEN 0 ELSE 1 END, level) AS INTEGER) AS level_no FROM (
+  SELECT DISTINCT 'group' AS variable, "group" AS level FROM covariates WHERE "group" IS NOT NULL
+  UNION SELECT DISTINCT 'segment', segment FROM covariates WHERE segment IS NOT NULL)""", "covariates"))
+def q_reference_levels(spark, sf):
+    return smp.reference_levels(fx.covariates(spark, sf), {"segment": "MACHINERY"}, ["group", "segment"])
