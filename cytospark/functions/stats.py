@@ -98,3 +98,75 @@ def channel_quantiles(df: DataFrame, keys: Sequence[str], channels: Sequence[str
 
 def round6(c: Column) -> Column:
     return F.round(c, 6)
+
+
+def complement_quantiles(lf: DataFrame, group: str, probs: Sequence[float], key: str = "channel",
+                         value: str = "value", bins: int = 4096, names: Sequence[str] | None = None) -> DataFrame:
+    """Exact type-7 quantiles, per group and ``key``, of all rows **not** in the group.
+
+    Per key, values are binned on ``bins`` equal-width bins; the complement's bin counts are the
+    key's counts minus the group's, so a small grouped task per (group, key) finds the bins holding
+    the two order statistics of every probability.  Only the complement values inside those bins
+    are then collected (an equi-join of rows with the target (key, bin) list).  Nothing pairs rows
+    with groups wholesale."""
+    import numpy as np
+    import pandas as pd
+
+    names = list(names) if names else [f"q_{i}" for i in range(len(probs))]
+    probs = [float(p) for p in probs]
+    v = F.col(value).cast("double")
+    src = lf.where(v.isNotNull() & F.col(group).isNotNull()).select(group, key, v.alias("_v"))
+    rng = checked_side(src.groupBy(key).agg(F.min("_v").alias("_mn"), F.max("_v").alias("_mx")))
+    b = src.join(rng, key).withColumn(
+        "_bin", F.least(F.greatest(F.floor(F.try_divide(F.col("_v") - F.col("_mn"), (F.col("_mx") - F.col("_mn")) / bins)),
+                                   F.lit(0)), F.lit(bins - 1)).cast("int"))
+    b = b.withColumn("_bin", F.coalesce("_bin", F.lit(0)))
+    hist = b.groupBy(group, key, "_bin").agg(F.count(F.lit(1)).alias("_c"))
+    allh = hist.groupBy(key, "_bin").agg(F.sum("_c").alias("_a"))
+    # dense arrays per key and per (group, key): bins numbers each
+    tot = allh.groupBy(key).agg(F.collect_list(F.struct("_bin", "_a")).alias("_all"))
+    grp = hist.groupBy(group, key).agg(F.collect_list(F.struct("_bin", "_c")).alias("_own"))
+    task_in = grp.join(checked_side(tot), key)
+    gtype = lf.schema[group].dataType.simpleString()
+
+    def locate(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, r in pdf.iterrows():
+            a = np.zeros(bins, dtype=np.int64)
+            o = np.zeros(bins, dtype=np.int64)
+            for s in r["_all"]:
+                a[s["_bin"]] += s["_a"]
+            for s in r["_own"]:
+                o[s["_bin"]] += s["_c"]
+            comp = a - o
+            cum = np.cumsum(comp)
+            m = int(cum[-1]) if bins else 0
+            for pi, p in enumerate(probs):
+                if m == 0:
+                    continue
+                h = p * (m - 1)
+                i0 = int(np.floor(h))
+                for rank in sorted({i0, min(i0 + 1, m - 1)}):
+                    bi = int(np.searchsorted(cum, rank, side="right"))
+                    before = int(cum[bi - 1]) if bi > 0 else 0
+                    out.append((r[group], r[key], pi, rank, bi, rank - before, m))
+        return pd.DataFrame(out, columns=[group, key, "_p", "_rank", "_bin", "_pos", "_m"])
+
+    tgt = task_in.groupBy(group, key).applyInPandas(
+        locate, f"{group} {gtype}, {key} string, _p int, _rank long, _bin int, _pos long, _m long")
+    tgt = checked_side(tgt)
+    # complement values in the target bins: rows of other groups whose (key, bin) is a target
+    tb = tgt.select(F.col(group).alias("_g"), key, "_bin").distinct()
+    vals = b.select(group, key, "_bin", "_v").join(tb, [key, "_bin"]).where(F.col(group) != F.col("_g")) \
+        .groupBy("_g", key, "_bin").agg(F.array_sort(F.collect_list("_v")).alias("_vals"))
+    picked = tgt.join(vals.withColumnRenamed("_g", group), [group, key, "_bin"]) \
+        .withColumn("_x", F.element_at("_vals", (F.col("_pos") + 1).cast("int")))
+    pv = picked.groupBy(group, key, "_p").agg(
+        F.min(F.struct("_rank", "_x")).alias("_lo"), F.max(F.struct("_rank", "_x")).alias("_hi"), F.first("_m").alias("_m"))
+    outs = []
+    for pi, p in enumerate(probs):
+        h = F.lit(p) * (F.col("_m") - 1)
+        frac = h - F.floor(h)
+        val = F.col("_lo._x") + frac * (F.col("_hi._x") - F.col("_lo._x"))
+        outs.append(F.max(F.when(F.col("_p") == pi, F.when(frac == 0, F.col("_lo._x")).otherwise(val))).alias(names[pi]))
+    return pv.groupBy(group, key).agg(*outs)

@@ -495,3 +495,98 @@ def q_metadata_summary(spark, sf):
   UNION SELECT DISTINCT 'segment', segment FROM covariates WHERE segment IS NOT NULL)""", "covariates"))
 def q_reference_levels(spark, sf):
     return smp.reference_levels(fx.covariates(spark, sf), {"segment": "MACHINERY"}, ["group", "segment"])
+
+
+# ------------------------------------------------------------------ H
+from cytospark.operators import abundance as ab, enrichment as enr  # noqa: E402
+
+_ABUND_SQL = """counts AS (SELECT c.cluster, m.sample_id, coalesce(k.n, 0) AS n, t.total,
+    coalesce(k.n, 0) * 100.0 / t.total AS percent
+  FROM (SELECT DISTINCT cluster FROM line_events WHERE cluster IS NOT NULL AND sample_id IN (SELECT sample_id FROM line_meta)) c
+  CROSS JOIN (SELECT sample_id FROM line_meta) m
+  JOIN (SELECT sample_id, count(*) AS total, count(cluster) AS clustered FROM line_events GROUP BY 1) t ON t.sample_id = m.sample_id
+  LEFT JOIN (SELECT cluster, sample_id, count(*) AS n FROM line_events GROUP BY 1, 2) k ON k.cluster = c.cluster AND k.sample_id = m.sample_id
+  WHERE t.clustered > 0)"""
+
+
+def _abund_sql(sql):
+    return with_views("", "line_events", "line_meta").rstrip() + ",\n" + _ABUND_SQL + "\n" + sql
+
+
+def _counts(spark, sf):
+    return ab.abundance_counts(fx.line_events(spark, sf), fx.line_samples(spark, sf).select("sample_id"))
+
+
+@register("abundance", _abund_sql("SELECT cluster, sample_id, n, total, round(percent, 6) AS percent FROM counts"))
+def q_abundance(spark, sf):
+    c = _counts(spark, sf)
+    return c.select("cluster", "sample_id", "n", "total", r6(F.col("percent")).alias("percent"))
+
+
+@register("bh_adjust", _abund_sql("""SELECT cluster, sample_id, round(p, 6) AS p, round(least(1.0, min(q) OVER (PARTITION BY sample_id
+    ORDER BY p DESC, cluster ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), 6) AS FDR FROM (
+  SELECT cluster, sample_id, percent / 100 AS p, (percent / 100) * count(*) OVER (PARTITION BY sample_id)
+    / (count(*) OVER (PARTITION BY sample_id) - row_number() OVER (PARTITION BY sample_id ORDER BY percent DESC, cluster) + 1) AS q
+  FROM counts)"""))
+def q_bh_adjust(spark, sf):
+    c = _counts(spark, sf).withColumn("p", F.col("percent") / 100)
+    r = ab.bh_adjust(c, "p", "sample_id")
+    return r.select("cluster", "sample_id", r6(F.col("p")).alias("p"), r6(F.col("FDR")).alias("FDR"))
+
+
+@register("cohens_h", _abund_sql("""SELECT cluster, "group", 'A' AS reference, round(p, 6) AS p, round(p_ref, 6) AS p_ref, round(h, 6) AS h FROM (
+  SELECT g.cluster, g."group", g.p, r.p AS p_ref, 2 * asin(sqrt(g.p)) - 2 * asin(sqrt(r.p)) AS h FROM
+    (SELECT cluster, "group", sum(n) / sum(total) AS p FROM counts JOIN line_meta USING (sample_id) GROUP BY 1, 2) g
+    JOIN (SELECT cluster, sum(n) / sum(total) AS p FROM counts JOIN line_meta USING (sample_id) WHERE "group" = 'A' GROUP BY 1) r
+    USING (cluster) WHERE g."group" <> 'A') WHERE abs(h) >= 0.01"""))
+def q_cohens_h(spark, sf):
+    h = ab.cohens_h(_counts(spark, sf), fx.line_samples(spark, sf), "group", "A", min_effect_size=0.01)
+    return h.select("cluster", "group", "reference", *[r6(F.col(c)).alias(c) for c in ("p", "p_ref", "h")])
+
+
+@register("design_matrix", with_views("""SELECT sample_id, CAST(1 AS DOUBLE) AS "(Intercept)",
+  CAST(CASE WHEN "group" = 'N' THEN 1 ELSE 0 END AS DOUBLE) AS groupN, CAST(CASE WHEN "group" = 'R' THEN 1 ELSE 0 END AS DOUBLE) AS groupR FROM line_meta""",
+                                      "line_meta"))
+def q_design_matrix(spark, sf):
+    d, _ = ab.design_matrix(fx.line_samples(spark, sf).select("sample_id", "group"), "~ group")
+    return d
+
+
+@register("contrasts", with_views("""SELECT coefficient, CAST(CASE coefficient WHEN 'groupN' THEN 1 WHEN 'groupR' THEN -1 ELSE 0 END AS DOUBLE) AS NvsR,
+  CAST(CASE coefficient WHEN 'groupN' THEN 1 ELSE 0 END AS DOUBLE) AS N FROM (SELECT '(Intercept)' AS coefficient UNION ALL
+  SELECT DISTINCT 'group' || "group" FROM line_meta WHERE "group" <> (SELECT min("group") FROM line_meta))""", "line_meta"))
+def q_contrasts(spark, sf):
+    _, names = ab.design_matrix(fx.line_samples(spark, sf).select("sample_id", "group"), "~ group")
+    return ab.make_contrasts(spark, {"NvsR": "groupN - groupR", "N": "groupN"}, names)
+
+
+_MEM_SQL = with_views("", "line_events").rstrip() + ",\n" + """own AS (""" + " UNION ALL ".join(
+    f"SELECT cluster, '{c}' AS channel, quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS med, quantile_cont({c}, 0.75) AS q3 "
+    f"FROM line_events WHERE cluster IS NOT NULL GROUP BY cluster" for c in LC) + """),
+ref AS (""" + " UNION ALL ".join(
+    f"SELECT k.cluster, '{c}' AS channel, quantile_cont(e.{c}, 0.25) AS r1, quantile_cont(e.{c}, 0.5) AS rmed, quantile_cont(e.{c}, 0.75) AS r3 "
+    f"FROM (SELECT DISTINCT cluster FROM line_events WHERE cluster IS NOT NULL) k JOIN line_events e ON e.cluster <> k.cluster GROUP BY k.cluster"
+    for c in LC) + """),
+raw AS (SELECT cluster, channel, CASE WHEN med < rmed THEN -1 ELSE 1 END *
+    (abs(med - rmed) + (r3 - r1) / nullif(q3 - q1, 0) - 1) AS raw FROM own JOIN ref USING (cluster, channel)),
+mem AS (SELECT cluster, channel, raw * 10 / (SELECT max(abs(raw)) FROM raw) AS score FROM raw)
+"""
+
+
+@register("mem", _MEM_SQL + "SELECT cluster, channel, round(score, 6) AS score FROM mem")
+def q_mem(spark, sf):
+    m = enr.mem_scores(fx.line_events(spark, sf), LC, "cluster")
+    return m.select("cluster", "channel", r6(F.col("score")).alias("score"))
+
+
+@register("enrichment_labels", _MEM_SQL + """, t AS (SELECT quantile_cont(abs(score), 0.5) AS t FROM mem)
+SELECT cluster, string_agg(channel || CASE WHEN score < -t THEN 'lo' WHEN score < 0 THEN '-' WHEN score > t THEN 'hi' ELSE '+' END, ''
+  ORDER BY CASE channel WHEN 'qty' THEN 0 WHEN 'price' THEN 1 WHEN 'disc' THEN 2 ELSE 3 END) AS label
+  FROM mem, t WHERE score <> 0 GROUP BY cluster""".replace(", t AS", "").replace("SELECT cluster, string_agg", "SELECT cluster, string_agg", 1)
+          if False else _MEM_SQL.rstrip() + """,
+t AS (SELECT quantile_cont(abs(score), 0.5) AS t FROM mem)
+SELECT cluster, string_agg(channel || CASE WHEN score < -t THEN 'lo' WHEN score < 0 THEN '-' WHEN score > t THEN 'hi' ELSE '+' END, ''
+  ORDER BY CASE channel WHEN 'qty' THEN 0 WHEN 'price' THEN 1 WHEN 'disc' THEN 2 ELSE 3 END) AS label
+  FROM mem, t WHERE score <> 0 GROUP BY cluster""")
+def q_enrichment_labels(spark, sf):
+    return enr.enrichment_labels(enr.mem_scores(fx.line_events(spark, sf), LC, "cluster"), LC, "cluster")
