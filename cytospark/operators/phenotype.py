@@ -187,9 +187,10 @@ def exclusive_groups(cooc: Mapping[tuple[str, str], int], cols: Sequence[str]) -
 
 
 def cooccurrence(df: DataFrame, cols: Sequence[str]) -> dict[tuple[str, str], int]:
-    """Rows where both columns of each pair are non-NULL: one aggregate, k·(k−1)/2 numbers."""
-    pairs = list(itertools.combinations(cols, 2))
-    if not pairs:
+    """Rows where both columns of each pair are non-NULL (and, under ``(c, c)``, rows where the
+    column is non-NULL): one aggregate, k·(k+1)/2 numbers."""
+    pairs = list(itertools.combinations(cols, 2)) + [(c, c) for c in cols]
+    if not cols:
         return {}
     aggs = [F.sum(F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), 1).otherwise(0)).alias(f"_c{i}")
             for i, (a, b) in enumerate(pairs)]
@@ -199,7 +200,8 @@ def cooccurrence(df: DataFrame, cols: Sequence[str]) -> dict[tuple[str, str], in
 
 def merge_exclusive(df: DataFrame, cols: Sequence[str], sep: str = "|", keep: Sequence[str] = ()) -> DataFrame:
     """Merge mutually exclusive columns into ``a|b`` columns by ``coalesce`` (F11)."""
-    groups = exclusive_groups(cooccurrence(df, cols), cols)
+    co = cooccurrence(df, cols)
+    groups = exclusive_groups({k: v for k, v in co.items() if k[0] != k[1]}, cols)
     out = [F.coalesce(*[F.col(c) for c in g]).alias(sep.join(g)) if len(g) > 1 else F.col(g[0]) for g in groups]
     return df.select(*keep, *out)
 
@@ -284,7 +286,11 @@ def gate_by_definition(df: DataFrame, definitions: Mapping[str, Sequence[str]],
     j = df.withColumns(cols)
     if not merge:
         return j.select(*keep, *definitions.keys())
-    return merge_exclusive(j, list(definitions), sep, keep=list(keep))
+    co = cooccurrence(j, list(definitions))
+    hit = [n for n in definitions if co[(n, n)] > 0]          # definitions without any hit are dropped
+    groups = exclusive_groups({k: v for k, v in co.items() if k[0] != k[1]}, hit)
+    out = [F.coalesce(*[F.col(c) for c in g]).alias(sep.join(g)) if len(g) > 1 else F.col(g[0]) for g in groups]
+    return j.select(*keep, *out)
 
 
 def choose_cluster_set(df: DataFrame, a: str, b: str) -> str:

@@ -590,3 +590,36 @@ SELECT cluster, string_agg(channel || CASE WHEN score < -t THEN 'lo' WHEN score
   FROM mem, t WHERE score <> 0 GROUP BY cluster""")
 def q_enrichment_labels(spark, sf):
     return enr.enrichment_labels(enr.mem_scores(fx.line_events(spark, sf), LC, "cluster"), LC, "cluster")
+
+
+# ------------------------------------------------------------------ F9–F12
+_HITS = """hits AS (SELECT cluster,
+   bool_or(channel || label = 'qty+/++') AS big, bool_or(channel || label = 'qty-/d') AS small,
+   bool_or(channel || label = 'price+/++') AS dear,
+   bool_or(channel || label = 'qty+/++') AND bool_or(channel || label = 'price+/++') AS big_dear,
+   bool_or(channel || label IN ('price+/++', 'tax+/++')) AS dear_or_taxed FROM summary GROUP BY cluster)"""
+
+
+@register("merge_clusters", with_labels("", _SUMMARY_SQL, _HITS) + """SELECT e.sample_id, e.event_id, e.cluster AS orig,
+  coalesce(CASE WHEN h.big THEN 'big' END, CASE WHEN h.small THEN 'small' END) AS "big|small",
+  CASE WHEN h.dear THEN 'dear' END AS dear, CASE WHEN h.big_dear THEN 'big dear' END AS "big dear",
+  CASE WHEN h.dear_or_taxed THEN 'dear or taxed' END AS "dear or taxed"
+  FROM line_labels e LEFT JOIN hits h USING (cluster)""")
+def q_merge_clusters(spark, sf):
+    return phenotype.merge_clusters(_labelled(spark, sf), LINE_DEFINITIONS, LC, "cluster", THRESHOLD)
+
+
+@register("gate_by_definition", with_labels("""SELECT sample_id, event_id,
+  CASE WHEN qty__pm IN ('+', '++') THEN 'big' WHEN qty__pm IN ('-', 'd') THEN 'small' END AS "big|small",
+  CASE WHEN price__pm IN ('+', '++') THEN 'dear' END AS dear,
+  CASE WHEN qty__pm IN ('+', '++') AND price__pm IN ('+', '++') THEN 'big dear' END AS "big dear",
+  CASE WHEN price__pm IN ('+', '++') OR tax__pm IN ('+', '++') THEN 'dear or taxed' END AS "dear or taxed"
+  FROM line_labels"""))
+def q_gate_by_definition(spark, sf):
+    return phenotype.gate_by_definition(_labelled(spark, sf), LINE_DEFINITIONS, LC)
+
+
+@register("choose_set", with_views("""SELECT 'cluster' AS cluster_set, count(DISTINCT cluster) AS n_clusters FROM line_events
+  UNION ALL SELECT 'cluster2', count(DISTINCT cluster2) FROM line_events""", "line_events"))
+def q_choose_set(spark, sf):
+    return phenotype.cluster_set_counts(fx.line_events(spark, sf), ["cluster", "cluster2"])
