@@ -222,20 +222,26 @@ def _thresholds(names: Sequence[str], label_threshold) -> dict[str, float]:
 
 def definition_hits(df: DataFrame, definitions: Mapping[str, Sequence[str]], channels: Sequence[str],
                     by: str = "cluster", label_threshold=0.90) -> DataFrame:
-    """``(by, definition)`` for every cluster hit by every definition (the small hit table of F9)."""
+    """``(by, definition)`` for every cluster hit by every definition (the small hit table of F9).
+
+    The summary tokens are materialised once per distinct threshold; all definitions' terms are
+    resolved in one projection and matched in one equi-join."""
     names = list(definitions)
     th = _thresholds(names, label_threshold)
     spark = df.sparkSession
-    out = None
-    summaries: dict[float, DataFrame] = {}
-    for name in names:
-        t = th[name]
-        if t not in summaries:
-            summaries[t] = summary_tokens(summarize_phenotypes(df, channels, by, t), by)
-        resolved = resolve_query(terms_frame(spark, definitions[name]), channels)
-        h = _hits(summaries[t], resolved, by, len(definitions[name])).withColumn("definition", F.lit(name))
-        out = h if out is None else out.unionByName(h)
-    return out
+    tokens = None
+    for t in sorted(set(th.values())):
+        tk = summary_tokens(summarize_phenotypes(df, channels, by, t), by).withColumn("_t", F.lit(t))
+        tokens = tk if tokens is None else tokens.unionByName(tk)
+    tokens = checked_side(tokens)
+    rows = [(n, th[n], gi, ai, t) for n in names for gi, alts in enumerate(split_terms(definitions[n]))
+            for ai, t in enumerate(alts)]
+    tf = spark.createDataFrame(rows, "definition string, _t double, grp int, alt int, term string")
+    resolved = resolve_query(tf, channels).select("definition", "_t", "grp", F.col("state").alias("token"))
+    need = F.create_map(*[x for n in names for x in (F.lit(n), F.lit(len(definitions[n])))])
+    j = tokens.join(literal_side(resolved), ["_t", "token"])
+    return j.groupBy(by, "definition").agg(F.countDistinct("grp").alias("_g")) \
+        .where(F.col("_g") == need[F.col("definition")]).select(by, "definition")
 
 
 def merge_clusters(df: DataFrame, definitions: Mapping[str, Sequence[str]], channels: Sequence[str],

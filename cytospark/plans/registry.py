@@ -623,3 +623,66 @@ def q_gate_by_definition(spark, sf):
   UNION ALL SELECT 'cluster2', count(DISTINCT cluster2) FROM line_events""", "line_events"))
 def q_choose_set(spark, sf):
     return phenotype.cluster_set_counts(fx.line_events(spark, sf), ["cluster", "cluster2"])
+
+
+# ------------------------------------------------------------------ C3, C5, C7
+from cytospark.operators import preprocess as pre  # noqa: E402
+
+
+def _spill(spark, sf):
+    """Spillover per sample derived from the data: qty→disc = mean(disc)/mean(qty)/10, disc→qty =
+    mean(qty)/mean(disc)/1000."""
+    m = fx.line_events(spark, sf).groupBy("sample_id").agg(F.avg("qty").alias("q"), F.avg("disc").alias("d"))
+    return m.select("sample_id", F.explode(F.array(
+        F.struct(F.lit("qty").alias("from_ch"), F.lit("disc").alias("to_ch"), (F.col("d") / F.col("q") / 10).alias("coef")),
+        F.struct(F.lit("disc").alias("from_ch"), F.lit("qty").alias("to_ch"), (F.col("q") / F.col("d") / 1000).alias("coef")))
+    ).alias("s")).select("sample_id", "s.*")
+
+
+@register("compensate", with_views("""SELECT sample_id, event_id, round((qty - b * disc) / (1 - a * b), 6) AS qty,
+  round((disc - a * qty) / (1 - a * b), 6) AS disc, price FROM line_events JOIN (
+  SELECT sample_id, avg(disc) / avg(qty) / 10 AS a, avg(qty) / avg(disc) / 1000 AS b FROM line_events GROUP BY 1) USING (sample_id)""",
+                                   "line_events"))
+def q_compensate(spark, sf):
+    c = pre.compensate(fx.line_events(spark, sf), _spill(spark, sf), ["qty", "disc"])
+    return c.select("sample_id", "event_id", r6(F.col("qty")).alias("qty"), r6(F.col("disc")).alias("disc"), "price")
+
+
+BARCODE_KEY = [("s_qp", 1, 1, 0, 0), ("s_qd", 1, 0, 1, 0), ("s_qt", 1, 0, 0, 1),
+               ("s_pd", 0, 1, 1, 0), ("s_pt", 0, 1, 0, 1), ("s_dt", 0, 0, 1, 1)]
+
+
+@register("debarcode", with_views("""SELECT sample_id, event_id, code, round(sep, 6) AS separation,
+  CASE WHEN sep >= 0.1 THEN code_sample END AS barcode_sample FROM (
+  SELECT sample_id, event_id, array_to_string(list_sort([s[1].c, s[2].c]), ',') AS code, s[2].v - s[3].v AS sep FROM (
+    SELECT sample_id, event_id, list_sort([{'v': qty / q1, 'c': 'qty'}, {'v': price / q2, 'c': 'price'},
+       {'v': disc / q3, 'c': 'disc'}, {'v': tax / q4, 'c': 'tax'}], 'DESC') AS s FROM line_events JOIN (
+      SELECT sample_id, quantile_cont(qty, 0.95) AS q1, quantile_cont(price, 0.95) AS q2, quantile_cont(disc, 0.95) AS q3,
+        quantile_cont(tax, 0.95) AS q4 FROM line_events GROUP BY 1) USING (sample_id)))
+  LEFT JOIN (VALUES ('price,qty', 's_qp'), ('disc,qty', 's_qd'), ('qty,tax', 's_qt'), ('disc,price', 's_pd'),
+    ('price,tax', 's_pt'), ('disc,tax', 's_dt')) k(code, code_sample) USING (code)""", "line_events"))
+def q_debarcode(spark, sf):
+    key = spark.createDataFrame(BARCODE_KEY, "barcode_sample string, qty int, price int, disc int, tax int")
+    d = pre.debarcode(fx.line_events(spark, sf), key, LC, cutoff=0.1)
+    return d.select("sample_id", "event_id", "code", r6(F.col("separation")).alias("separation"), "barcode_sample")
+
+
+@register("rescale_quantile", with_views("""SELECT sample_id, event_id, """ + ", ".join(
+    f"round({c} / quantile_cont({c}, 0.95) OVER (PARTITION BY sample_id), 6) AS {c}" for c in ("qty", "price")) + """ FROM (
+  SELECT sample_id, event_id, asinh(greatest(qty - 1.0, 0) / 5) AS qty, asinh(greatest(price - 1.0, 0) / 5) AS price
+  FROM line_events WHERE sqrt(greatest(qty - 1.0, 0) ^ 2 + greatest(price - 1.0, 0) ^ 2) > 1000)""", "line_events"))
+def q_rescale_quantile(spark, sf):
+    r = pre.rescale(fx.line_events(spark, sf).select("sample_id", "event_id", "qty", "price"), ["qty", "price"],
+                    noise_threshold=1.0, euclidean_length_threshold=1000.0, scaling_factor=5.0, transformation="ASINH",
+                    rescale="QUANTILE", quantile=0.95, rescale_separately=True)
+    return r.select("sample_id", "event_id", r6(F.col("qty")).alias("qty"), r6(F.col("price")).alias("price"))
+
+
+@register("rescale_sd", with_views("", "line_events").rstrip() + """,
+lim AS (SELECT sample_id, event_id, greatest(qty - 1.0, 0) AS qty, tax FROM (
+  SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY event_id) AS rn FROM line_events) WHERE rn <= 500)
+SELECT sample_id, event_id, round(qty / (SELECT stddev_samp(qty) FROM lim), 6) AS qty, tax FROM lim""")
+def q_rescale_sd(spark, sf):
+    ev = fx.line_events(spark, sf).select("sample_id", "event_id", "qty", "tax")
+    r = pre.rescale(ev, ["qty"], limit_events_per_file=500, noise_threshold=1.0, rescale="SD")
+    return r.withColumn("qty", r6(F.col("qty")))
