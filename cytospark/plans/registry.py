@@ -686,3 +686,70 @@ def q_rescale_sd(spark, sf):
     ev = fx.line_events(spark, sf).select("sample_id", "event_id", "qty", "tax")
     r = pre.rescale(ev, ["qty"], limit_events_per_file=500, noise_threshold=1.0, rescale="SD")
     return r.withColumn("qty", r6(F.col("qty")))
+
+
+# ------------------------------------------------------------------ C6
+from cytospark.operators import outliers as olr  # noqa: E402
+
+_SEG_SQL = with_views("", "stream_events").rstrip() + """,
+seg AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY sample_id ORDER BY time, event_id) - 1) / 500) AS INTEGER) AS segment
+  FROM stream_events),
+st AS (SELECT sample_id, segment, 'value' AS channel, avg(value) AS mean, quantile_cont(value, 0.5) AS median,
+    quantile_cont(value, 0.05) AS p05, quantile_cont(value, 0.20) AS p20, quantile_cont(value, 0.80) AS p80,
+    quantile_cont(value, 0.95) AS p95, var_samp(value) AS variance,
+    avg(power(value - (SELECT avg(value) FROM seg s2 WHERE s2.sample_id = seg.sample_id AND s2.segment = seg.segment), 3))
+      / power(var_pop(value), 1.5) AS skewness,
+    count(value) AS n, count(value) / (max(time) - min(time)) AS density FROM seg GROUP BY sample_id, segment)
+"""
+
+
+@register("segment_stats", _SEG_SQL + "SELECT sample_id, segment, channel, " + ", ".join(
+    f"round({s}, 6) AS {s}" for s in olr.STATS) + ", n, round(density, 6) AS density FROM st")
+def q_segment_stats(spark, sf):
+    seg = olr.segment(fx.stream_events(spark, sf))
+    st = olr.segment_stats(seg, ["value"])
+    return st.select("sample_id", "segment", "channel", *[r6(F.col(s)).alias(s) for s in olr.STATS], "n",
+                     r6(F.col("density")).alias("density"))
+
+
+@register("remove_outliers", _SEG_SQL + """, z AS (SELECT sample_id, segment, density, """ + " + ".join(
+    f"coalesce(abs(({s} - avg({s}) OVER w) / nullif(stddev_samp({s}) OVER w, 0)), 0)" for s in olr.STATS)
+          + """ AS score FROM st WINDOW w AS (PARTITION BY sample_id, channel)),
+q AS (SELECT sample_id, segment, score > avg(score) OVER (PARTITION BY sample_id) + 3.0 * coalesce(stddev_samp(score) OVER (PARTITION BY sample_id), 0)
+  OR coalesce(density < 0.1 * max(density) OVER (PARTITION BY sample_id), false) AS removed FROM z)
+SELECT s.sample_id, s.event_id FROM seg s JOIN q USING (sample_id, segment) WHERE NOT q.removed""")
+def q_remove_outliers(spark, sf):
+    return olr.remove_outlier_segments(fx.stream_events(spark, sf), ["value"], 500, 3.0, 0.10).select("sample_id", "event_id")
+
+
+# ------------------------------------------------------------------ C4
+from cytospark.functions.order import rank_within  # noqa: E402
+from cytospark.operators import beads as bds  # noqa: E402
+
+
+@register("bead_smooth", with_views("""SELECT sample_id, event_id, round(quantile_cont(value, 0.5) OVER (PARTITION BY sample_id
+  ORDER BY time, event_id ROWS BETWEEN 250 PRECEDING AND 250 FOLLOWING), 6) AS value_med FROM stream_events""", "stream_events"))
+def q_bead_smooth(spark, sf):
+    r = rank_within(fx.stream_events(spark, sf), ["sample_id"], ["time", "event_id"], "rank")
+    m = bds.framed_median(r, ["sample_id"], "rank", ["value"], half=250, chunk=700)
+    return m.select("sample_id", "event_id", r6(F.col("value_med")).alias("value_med"))
+
+
+@register("bead_interpolate", with_views("", "stream_events").rstrip() + """,
+u AS (SELECT sample_id, event_id, time, CASE WHEN event_id % 10 = 0 THEN value END AS pv FROM stream_events),
+w AS (SELECT *, last_value(CASE WHEN pv IS NOT NULL THEN {'t': time, 'v': pv} END IGNORE NULLS) OVER (PARTITION BY sample_id
+    ORDER BY time, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p,
+  first_value(CASE WHEN pv IS NOT NULL THEN {'t': time, 'v': pv} END IGNORE NULLS) OVER (PARTITION BY sample_id
+    ORDER BY time, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS n FROM u)
+SELECT sample_id, event_id, round(CASE WHEN p IS NULL THEN n.v WHEN n IS NULL THEN p.v WHEN n.t = p.t THEN p.v
+  ELSE p.v + (time - p.t) / (n.t - p.t) * (n.v - p.v) END, 6) AS interp FROM w""")
+def q_bead_interpolate(spark, sf):
+    ev = fx.stream_events(spark, sf)
+    pts = ev.where(F.col("event_id") % 10 == 0).select("sample_id", "time", "value")
+    out = bds.interpolate(ev.select("sample_id", "event_id", "time"), pts, "sample_id", "time", "value", chunk=700)
+    return out.select("sample_id", "event_id", r6(F.col("interp")).alias("interp"))
+
+
+@register("bead_normalize")
+def q_bead_normalize(spark, sf):
+    return bds.bead_normalize(fx.stream_events(spark, sf), ["value"], [], ["value"], k=100)
