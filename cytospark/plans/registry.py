@@ -753,3 +753,32 @@ def q_bead_interpolate(spark, sf):
 @register("bead_normalize")
 def q_bead_normalize(spark, sf):
     return bds.bead_normalize(fx.stream_events(spark, sf), ["value"], [], ["value"], k=100)
+
+
+# ------------------------------------------------------------------ G1, G2
+from cytospark.operators import neighbors as nbr  # noqa: E402
+
+VC = fx.VEC_CHANNELS
+_DIST = " + ".join(f"(a.c{i} - b.c{i}) * (a.c{i} - b.c{i})" for i in range(1, 65))
+_KNN_SQL = with_views("", "vec_events").rstrip() + f""",
+knn AS (SELECT src, dst, rank, distance FROM (
+  SELECT a.event_id AS src, b.event_id AS dst, sqrt({_DIST}) AS distance,
+    CAST(row_number() OVER (PARTITION BY a.event_id ORDER BY sqrt({_DIST}), b.event_id) AS INTEGER) AS rank
+  FROM vec_events a JOIN vec_events b ON a.event_id <> b.event_id) WHERE rank <= 15)
+"""
+
+
+@register("knn", _KNN_SQL + "SELECT src, dst, rank, round(distance, 6) AS distance FROM knn")
+def q_knn(spark, sf):
+    g = nbr.knn_graph(fx.vec_events(spark, sf), VC, k=15, cell_size=60)
+    return g.select("src", "dst", "rank", r6(F.col("distance")).alias("distance"))
+
+
+@register("jaccard", _KNN_SQL + """, nb AS (SELECT src, list(dst) AS n FROM knn GROUP BY src)
+SELECT k.src, k.dst, round(len(list_intersect(a.n, b.n)) / len(list_distinct(list_concat(a.n, b.n))), 6) AS weight,
+  CAST(len(list_intersect(a.n, b.n)) AS INTEGER) AS shared
+  FROM knn k JOIN nb a ON a.src = k.src JOIN nb b ON b.src = k.dst""".replace("\n, nb AS", ",\nnb AS"))
+def q_jaccard(spark, sf):
+    g = nbr.knn_graph(fx.vec_events(spark, sf), VC, k=15, cell_size=60)
+    j = nbr.jaccard_graph(g)
+    return j.select("src", "dst", r6(F.col("weight")).alias("weight"), F.col("shared").cast("int").alias("shared"))
