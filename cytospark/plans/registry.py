@@ -782,3 +782,22 @@ def q_jaccard(spark, sf):
     g = nbr.knn_graph(fx.vec_events(spark, sf), VC, k=15, cell_size=60)
     j = nbr.jaccard_graph(g)
     return j.select("src", "dst", r6(F.col("weight")).alias("weight"), F.col("shared").cast("int").alias("shared"))
+
+
+# ------------------------------------------------------------------ G3, G8, G9 (rows-only: checked on planted data)
+from cytospark.operators import community as cmt, density as dns  # noqa: E402
+
+
+@register("phenograph")
+def q_phenograph(spark, sf):
+    return cmt.phenograph(fx.vec_events(spark, sf), VC, k=15, cell_size=100)
+
+
+@register("xshift")
+def q_xshift(spark, sf):
+    return dns.xshift(fx.vec_events(spark, sf), VC, k=15, cell_size=100)
+
+
+@register("density_peaks")
+def q_density_peaks(spark, sf):
+    return dns.density_peaks(fx.vec_events(spark, sf), VC, k=15, cell_size=100)

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,9 +65,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (written to the shared checkpoint folder) for iterative operators.
+    """Materialise ``df`` as a table in the shared checkpoint folder and read it back.
 
-    Survives executor loss, unlike a local checkpoint.
+    Used by iterative operators: the plan restarts from files (no lineage, no inherited plan
+    state), and the data survives executor loss, unlike a local checkpoint.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cytospark-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
