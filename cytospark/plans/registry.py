@@ -801,3 +801,74 @@ def q_xshift(spark, sf):
 @register("density_peaks")
 def q_density_peaks(spark, sf):
     return dns.density_peaks(fx.vec_events(spark, sf), VC, k=15, cell_size=100)
+
+
+# ------------------------------------------------------------------ G4–G7 (SOM and consensus: rows-only), L
+from cytospark.operators import kde as kd, som as sm  # noqa: E402
+
+
+@register("som")
+def q_som(spark, sf):
+    _, asg = sm.som(fx.vec_events(spark, sf), VC, xdim=5, ydim=5, rlen=5)
+    return asg
+
+
+@register("som_clusters")
+def q_som_clusters(spark, sf):
+    return sm.som_clusters(fx.vec_events(spark, sf), VC, k=10, xdim=5, ydim=5, rlen=5, reps=20)
+
+
+_PAIRS = [(a, b) for i, a in enumerate(VC) for j, b in enumerate(VC) if i < j]
+
+
+@register("channel_correlation", with_views(" UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM vec_events" for a, b in _PAIRS), "vec_events"))
+def q_channel_correlation(spark, sf):
+    c = sm.channel_correlation(fx.vec_events(spark, sf), VC)
+    return c.select("a", "b", r6(F.col("r")).alias("r"))
+
+
+@register("cell_counts", with_views("""SELECT s.sample_id, s.n_start, coalesce(g.n_gated, 0) AS n_gated, m.id, m."group" FROM
+  (SELECT sample_id, count(*) AS n_start FROM line_events GROUP BY 1) s
+  LEFT JOIN (SELECT sample_id, count(*) AS n_gated FROM line_events WHERE qty > 25 GROUP BY 1) g USING (sample_id)
+  LEFT JOIN line_meta m USING (sample_id)""", "line_events", "line_meta"))
+def q_cell_counts(spark, sf):
+    ev = fx.line_events(spark, sf)
+    return tables.cell_counts(ev, ev.where("qty > 25"), fx.line_samples(spark, sf))
+
+
+@register("gating_extents", with_views(" UNION ALL ".join(
+    f"SELECT sample_id, '{c}' AS channel, least(0, min({c})) AS lo, max({c}) AS hi FROM line_events GROUP BY 1"
+    for c in LC), "line_events"))
+def q_gating_extents(spark, sf):
+    return tables.gating_extents(fx.line_events(spark, sf), LC, by="sample_id")
+
+
+@register("centroid_grid", with_views("""SELECT 'cluster' AS grouping, cluster, NULL::INTEGER AS sample_id, NULL::VARCHAR AS "group",
+    round(avg(c1), 6) AS x, round(avg(c2), 6) AS y, count(*) AS n FROM vec_events GROUP BY cluster
+  UNION ALL SELECT 'sample', NULL, sample_id, NULL, round(avg(c1), 6), round(avg(c2), 6), count(*) FROM vec_events GROUP BY sample_id
+  UNION ALL SELECT 'group', NULL, NULL, "group", round(avg(c1), 6), round(avg(c2), 6), count(*) FROM vec_events GROUP BY "group"
+  UNION ALL SELECT 'sample_cluster', k.cluster, s.sample_id, NULL, round(avg(e.c1), 6), round(avg(e.c2), 6), count(e.c1)
+    FROM (SELECT DISTINCT cluster FROM vec_events) k CROSS JOIN (SELECT DISTINCT sample_id FROM vec_events) s
+    LEFT JOIN vec_events e ON e.cluster = k.cluster AND e.sample_id = s.sample_id GROUP BY 1, 2, 3
+  UNION ALL SELECT 'group_cluster', k.cluster, NULL, s."group", round(avg(e.c1), 6), round(avg(e.c2), 6), count(e.c1)
+    FROM (SELECT DISTINCT cluster FROM vec_events) k CROSS JOIN (SELECT DISTINCT "group" FROM vec_events) s
+    LEFT JOIN vec_events e ON e.cluster = k.cluster AND e."group" = s."group" GROUP BY 1, 2, 4""", "vec_events"))
+def q_centroid_grid(spark, sf):
+    c = tables.embedding_centroids(fx.vec_events(spark, sf), "c1", "c2", "cluster", "sample_id", "group")
+    return c.select("grouping", "cluster", "sample_id", "group", r6(F.col("x")).alias("x"), r6(F.col("y")).alias("y"), "n")
+
+
+_BW = """st AS (SELECT sample_id, stddev_samp(value) AS sd, count(value) AS n, min(value) AS mn, max(value) AS mx,
+    quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM stream_events WHERE value IS NOT NULL GROUP BY 1),
+bw AS (SELECT *, 0.9 * least(sd, (q3 - q1) / 1.34) * pow(n, -0.2) AS bw FROM st),
+grid AS (SELECT sample_id, i, (mn - 3.0 * bw) + i * (((mx + 3.0 * bw) - (mn - 3.0 * bw)) / 49) AS x, bw, n FROM bw, range(50) t(i))"""
+
+
+@register("density1d", with_views("", "stream_events").rstrip() + ",\n" + _BW + """
+SELECT g.sample_id, 'value' AS channel, CAST(g.i AS INTEGER) AS i, round(g.x, 6) AS x,
+  round(sum(exp(-0.5 * ((g.x - e.value) / g.bw) * ((g.x - e.value) / g.bw))) / (g.n * g.bw * sqrt(2 * pi())), 6) AS density
+  FROM grid g JOIN stream_events e ON e.sample_id = g.sample_id AND e.value IS NOT NULL GROUP BY g.sample_id, g.i, g.x, g.n, g.bw""")
+def q_density1d(spark, sf):
+    d = kd.density_curves(fx.stream_events(spark, sf), ["value"], n_grid=50)
+    return d.select("sample_id", "channel", "i", r6(F.col("x")).alias("x"), r6(F.col("density")).alias("density"))
