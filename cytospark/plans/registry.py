@@ -872,3 +872,23 @@ SELECT g.sample_id, 'value' AS channel, CAST(g.i AS INTEGER) AS i, round(g.x, 6)
 def q_density1d(spark, sf):
     d = kd.density_curves(fx.stream_events(spark, sf), ["value"], n_grid=50)
     return d.select("sample_id", "channel", "i", r6(F.col("x")).alias("x"), r6(F.col("density")).alias("density"))
+
+
+_BW2 = """sx AS (SELECT stddev_samp(c1) AS sd, count(*) AS n, min(c1) AS mn, max(c1) AS mx, quantile_cont(c1, 0.25) AS q1,
+    quantile_cont(c1, 0.75) AS q3 FROM vec_events),
+sy AS (SELECT stddev_samp(c2) AS sd, count(*) AS n, min(c2) AS mn, max(c2) AS mx, quantile_cont(c2, 0.25) AS q1,
+    quantile_cont(c2, 0.75) AS q3 FROM vec_events),
+h AS (SELECT greatest(4 * 1.06 * least(sx.sd, (sx.q3 - sx.q1) / 1.34) * pow(sx.n, -0.2),
+                      4 * 1.06 * least(sy.sd, (sy.q3 - sy.q1) / 1.34) * pow(sy.n, -0.2)) / 4 AS s, sx.n AS n,
+    sx.mn AS xlo, sx.mx AS xhi, sy.mn AS ylo, sy.mx AS yhi FROM sx, sy),
+g AS (SELECT i, j, xlo + i * ((xhi - xlo) / 49) AS gx, ylo + j * ((yhi - ylo) / 49) AS gy, s, n FROM h, range(50) a(i), range(50) b(j))"""
+
+
+@register("density2d", with_views("", "vec_events").rstrip() + ",\n" + _BW2 + """
+SELECT CAST(g.i AS INTEGER) AS i, CAST(g.j AS INTEGER) AS j, round(g.gx, 6) AS gx, round(g.gy, 6) AS gy,
+  round(sum(exp(-0.5 * ((g.gx - e.c1) / g.s) * ((g.gx - e.c1) / g.s)) / (g.s * sqrt(2 * pi()))
+          * exp(-0.5 * ((g.gy - e.c2) / g.s) * ((g.gy - e.c2) / g.s)) / (g.s * sqrt(2 * pi()))) / any_value(g.n), 6) AS density
+  FROM g, vec_events e GROUP BY g.i, g.j, g.gx, g.gy""")
+def q_density2d(spark, sf):
+    d = kd.density_2d(fx.vec_events(spark, sf), "c1", "c2", n=50)
+    return d.select("i", "j", r6(F.col("gx")).alias("gx"), r6(F.col("gy")).alias("gy"), r6(F.col("density")).alias("density"))
