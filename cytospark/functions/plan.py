@@ -1,21 +1,26 @@
 """Join-side helpers: broadcast only what has been measured."""
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cytospark.session import cut_lineage
-
 # A side with at most this many rows is broadcast (rows of a few numbers each: well under 100 MB).
 BROADCAST_MAX_ROWS = 1_000_000
 
 
 def checked_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Materialise a derived (per-group) table once, count it, and mark it for broadcast only when the
-    count is within ``max_rows``; otherwise it joins by shuffle like any table."""
-    m = cut_lineage(df)
+    """Compute a derived (per-group) table once, count it, and mark it for broadcast only when the
+    count is within ``max_rows``; otherwise it is released and joins by shuffle like any table.
+
+    The table is persisted (memory and disk) rather than written: its lineage is short, so a lost
+    block is simply recomputed."""
+    m = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = m.count()
-    return F.broadcast(m) if n <= max_rows else m
+    if n <= max_rows:
+        return F.broadcast(m)
+    m.unpersist()
+    return df
 
 
 def literal_side(df: DataFrame) -> DataFrame:
