@@ -229,7 +229,7 @@ def q_centroids(spark, sf):
 @register("cluster_sizes", with_views("SELECT cluster2 AS cluster, count(*) AS n FROM line_events GROUP BY 1",
                                       "line_events"))
 def q_cluster_sizes(spark, sf):
-    return tables.cluster_sizes(fx.line_events(spark, sf).withColumnRenamed("cluster2", "cluster"))
+    return tables.cluster_sizes(fx.line_events(spark, sf).drop("cluster").withColumnRenamed("cluster2", "cluster"))
 
 
 @register("channel_ranges", with_views(" UNION ALL ".join(
