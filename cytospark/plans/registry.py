@@ -892,3 +892,22 @@ SELECT CAST(g.i AS INTEGER) AS i, CAST(g.j AS INTEGER) AS j, round(g.gx, 6) AS g
 def q_density2d(spark, sf):
     d = kd.density_2d(fx.vec_events(spark, sf), "c1", "c2", n=50)
     return d.select("i", "j", r6(F.col("gx")).alias("gx"), r6(F.col("gy")).alias("gy"), r6(F.col("density")).alias("density"))
+
+
+# ------------------------------------------------------------------ G11 (join-back given assignments)
+from cytospark.operators import metacluster as mcl  # noqa: E402
+
+
+@register("metacluster_join", with_views("""SELECT e.sample_id, e.event_id, e.cluster, m.metacluster FROM line_events e LEFT JOIN (
+  SELECT sample_id, cluster, CASE WHEN quantile_cont(qty, 0.5) >= 25.5 THEN 'big' ELSE 'small' END AS metacluster
+  FROM line_events GROUP BY 1, 2) m USING (sample_id, cluster)""", "line_events"))
+def q_metacluster_join(spark, sf):
+    ev = fx.line_events(spark, sf)
+    cen = tables.centroids(ev, ["qty"], ("sample_id", "cluster"))
+    assign = cen.select("sample_id", "cluster", F.when(F.col("qty") >= 25.5, "big").otherwise("small").alias("metacluster"))
+    return mcl.map_back(ev.select("sample_id", "event_id", "cluster"), assign)
+
+
+@register("metacluster")
+def q_metacluster(spark, sf):
+    return mcl.metacluster(fx.vec_events(spark, sf), VC, k=10)
