@@ -25,3 +25,14 @@ def test_stream_labels_and_gate_match_batch(spark):
     want = pipeline(batch)
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0
+
+
+def test_start_stream_helper(spark):
+    from cytospark.sources import fixtures as fx
+    from cytospark.streaming.rowwise import label_and_gate, start_stream
+    batch = fx.line_events(spark, SF001)
+    d = tempfile.mkdtemp(prefix="cyto-stream2-")
+    batch.write.mode("overwrite").parquet(f"{d}/in")
+    q = start_stream(spark, f"{d}/in", batch.schema, fx.LINE_CUTOFFS, f"{d}/ck", name="cyto_stream_helper")
+    q.awaitTermination()
+    assert spark.table("cyto_stream_helper").count() == label_and_gate(batch, fx.LINE_CUTOFFS).count()
