@@ -1,6 +1,7 @@
 """Session helpers: one place for the engine's Spark settings and for lineage cuts."""
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -51,12 +52,13 @@ def configure(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) a folder of our own is set.
+    A folder of our own is set only where the session has none, and only on a local master; on a
+    cluster a machine-local folder would be read by nobody else, so that is an error.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="cytospark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
@@ -64,13 +66,45 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def _tables_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/cytospark-tables/{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+_SWEPT: set[str] = set()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a table in the shared checkpoint folder and read it back.
 
     Used by iterative operators: the plan restarts from files (no lineage, no inherited plan
-    state), and the data survives executor loss, unlike a local checkpoint.
+    state), and the data survives executor loss, unlike a local checkpoint.  The tables of an
+    application lie in one folder, which goes when the driver ends; ``drop_cut`` removes one
+    earlier.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/cytospark-tables/{uuid.uuid4().hex}"
+    root = _tables_root(spark)
+    if root not in _SWEPT:
+        _SWEPT.add(root)
+        atexit.register(_sweep, spark, root)
+    path = f"{root}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cytospark_path = path
+    return out
+
+
+def drop_cut(df: DataFrame) -> None:
+    """Delete the table behind a frame that ``cut_lineage`` returned; nothing may read it later."""
+    path = getattr(df, "_cytospark_path", None)
+    if path:
+        _delete(df.sparkSession, path)
+
+
+def _sweep(spark: SparkSession, root: str) -> None:
+    if spark.sparkContext._jsc is not None:
+        _delete(spark, root)
