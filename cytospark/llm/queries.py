@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytospark.llm import packing, quality_rules, simhash
+from cytospark.llm import language_id, ngram_lm, packing, quality_rules, simhash
 from cytospark.llm.common import table
 
 
@@ -14,6 +14,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
@@ -24,6 +32,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_ngram_bloom": op2_ngram_bloom,
+    "op3_language_id": op3_language_id,
     "op5_simhash": op5_simhash,
     "op8_packing": op8_packing,
 }
