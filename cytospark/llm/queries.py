@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytospark.llm import language_id, ngram_lm, packing, quality_rules, simhash
+from cytospark.llm import ann, chat_format, language_id, ngram_lm, packing, quality_rules, simhash
 from cytospark.llm.common import table
 
 
@@ -26,6 +26,21 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op6_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+# A conversation whose texts hold control strings, formatted beside the table's own.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op7_prefix_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)],
+                                 "conv_id long, turn long, role string, text string")
+    return chat_format.digests(chat_format.examples(rows.unionByName(more)))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -35,6 +50,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_bloom": op2_ngram_bloom,
     "op3_language_id": op3_language_id,
     "op5_simhash": op5_simhash,
+    "op6_hnsw": op6_hnsw,
+    "op7_prefix_target": op7_prefix_target,
     "op8_packing": op8_packing,
 }
 
@@ -84,4 +101,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_li
        bad.source IS NOT NULL AS host_rejected,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND bad.source IS NULL AS kept
 FROM m LEFT JOIN bad ON m.source = bad.source""",
+    # The formatted text has an assistant turn as <s>text</s> and any other as [INST]role, line, text[/INST]; the
+    # example of the k-th assistant turn holds all turns up to it, and a rest without one is an example too.
+    "op7_prefix_target": r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+marked AS (
+  SELECT conv_id, turn, role, text,
+         length(regexp_replace(text, '([<\[])(\\*)(/?(?:s>|INST\]))', '\1\\\2\3', 'g'))
+           + CASE WHEN role = 'assistant' THEN 7 ELSE 14 + length(role) END AS chars,
+         role = 'assistant' AS target FROM rows),
+ends AS (
+  SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS upto,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) = 1 AS is_end FROM marked)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (target), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (target), '')) AS loss_sha256,
+       sum(upto) FILTER (target OR is_end)::BIGINT AS formatted_chars
+FROM ends GROUP BY conv_id""",
 }
