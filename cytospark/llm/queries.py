@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytospark.llm import ann, chat_format, language_id, ngram_lm, packing, quality_rules, simhash
+from cytospark.llm import ann, chat_format, language_id, ngram_lm, packing, quality_rules, simhash, weak_quality
 from cytospark.llm.common import table
 
 
@@ -45,6 +45,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality.weak_quality(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_ngram_bloom": op2_ngram_bloom,
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_hnsw": op6_hnsw,
     "op7_prefix_target": op7_prefix_target,
     "op8_packing": op8_packing,
+    "op10_weak_quality": op10_weak_quality,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
