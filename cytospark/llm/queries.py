@@ -4,9 +4,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from cytospark.llm import ann, chat_format, language_id, ngram_lm, packing, quality_rules, simhash, weak_quality
+from cytospark.llm import ann, chat_format, html_extract, language_id, nbest, ngram_lm, packing, quality_rules, simhash, weak_quality
 from cytospark.llm.common import table
 
 
@@ -22,6 +21,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
+def op4_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbest.n_best(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
@@ -45,6 +48,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op10_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_quality.weak_quality(table(spark, sf_dir, "documents"))
 
@@ -53,10 +60,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_ngram_bloom": op2_ngram_bloom,
     "op3_language_id": op3_language_id,
+    "op4_nbest": op4_nbest,
     "op5_simhash": op5_simhash,
     "op6_hnsw": op6_hnsw,
     "op7_prefix_target": op7_prefix_target,
     "op8_packing": op8_packing,
+    "op9_html_tree": op9_html_tree,
     "op10_weak_quality": op10_weak_quality,
 }
 
