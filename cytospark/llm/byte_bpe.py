@@ -55,7 +55,7 @@ def _starts(cps: np.ndarray) -> np.ndarray:
     start[after - 1] = True
     start[after[cps[after - 1] == 0x20]] = False
     # Contractions: an apostrophe that starts a pre-token, and the letters it takes along.
-    at = np.flatnonzero((cps[:-3] == 0x27) & start[:n - 3]) if n > 3 else np.zeros(0, dtype=np.int64)
+    at = np.flatnonzero((cps[:-2] == 0x27) & start[:n - 2])
     one = np.isin(cps[at + 1], [ord(c) for c in "stmd"])
     two = np.zeros(len(at), dtype=bool)
     for pair in ("re", "ve", "ll"):
