@@ -14,8 +14,8 @@ import numpy as np
 
 from cytospark.llm import textops
 
-BLOCK_CHARS = 1 << 21
-CACHE_ENTRIES = 1 << 21
+BLOCK_CHARS = 1 << 19
+CACHE_ENTRIES = 1 << 18
 
 # The pre-token pattern of the byte-level family.  _starts() follows it.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

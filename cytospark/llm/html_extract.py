@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from cytospark.llm import textops
 from cytospark.llm.html_tree import Node, TreeModel, parse, texts_under
 
 TRAIN_PAGES = 200
@@ -226,7 +227,7 @@ def extract(pages: DataFrame, html_col: str = "html", model: TreeModel | None =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _model(holder)
-        for batch in batches:
+        for batch in textops.small(batches):
             texts = [judge.content(p) if p else "" for p in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], names=names)

@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from cytospark.llm import textops
+
 DOCS_PER_LANG = 800
 PASSAGE_CHARS = 512
 DICT_BYTES = 1 << 16
@@ -100,7 +102,7 @@ def with_language(docs: DataFrame, dictionaries: dict[str, bytes], names: tuple[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = _compressors(content.value, level)
-        for batch in batches:
+        for batch in textops.small(batches):
             found = [classify(t, compressors) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([f[0] for f in found], pa.string()), *[

@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
+from cytospark.llm import textops
+
 N_BEST = 4
 BYTE_PENALTY = 10.0
 CACHE_WORDS = 400_000
@@ -233,7 +235,7 @@ def n_best(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seg = segmenter(path or piece_path(), n)
-        for batch in batches:
+        for batch in textops.small(batches):
             rows, cols = [], [[], [], [], [], []]
             for i, text in enumerate(batch.column(1).to_pylist()):
                 for rank, (score, ids) in enumerate(seg.text(text), 1):

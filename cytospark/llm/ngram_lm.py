@@ -135,7 +135,7 @@ def gather(training: DataFrame, text_col: str, parts: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()),
                                                   pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())],
                                                  names=["kind", "part", "keys", "counts"])
-        for batch in batches:
+        for batch in textops.small(batches):
             texts = [t or b"" for t in batch.column(0).cast(pa.binary()).to_pylist()]
             for a, b in textops.groups([len(t) for t in texts]):
                 counts, tokens = _tokens(texts[a:b])
@@ -302,7 +302,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
         def exact_of(words: np.ndarray) -> np.ndarray:
             at = np.minimum(np.searchsorted(known, words), max(len(known) - 1, 0))
             return np.where(known[at] == words, exact[at], 0) if len(known) else np.zeros(len(words), np.int64)
-        for batch in batches:
+        for batch in textops.small(batches):
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             parts = [[np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)]]
             for a, b in textops.groups([len(t) for t in texts]):
@@ -327,7 +327,7 @@ def _scores_by_join(src: DataFrame, counted: DataFrame, total: int, distinct: in
                                                  names=["kind", "key", "c"])
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textops.small(batches):
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             rows = batch.column("row").to_numpy()
             for a, b in textops.groups([len(t) for t in texts]):

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
+from cytospark.llm import textops
 from cytospark.llm.byte_bpe import encoder
 from cytospark.llm.common import small_side
 from cytospark.session import cut_lineage
@@ -47,7 +48,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(path or tokenizer_path()), np.array([end_id], dtype="<u4")
-        for batch in batches:
+        for batch in textops.small(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             rows, cols, kept = [], [[], [], [], []], []
             for i, ids in enumerate(enc.encode(texts)):

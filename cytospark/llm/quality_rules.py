@@ -85,7 +85,7 @@ def with_measures(docs: DataFrame, text_col: str = "text", prefix: str = "") ->
     schema = StructType(docs.schema.fields + [StructField(prefix + m, LongType()) for m in MEASURES])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textops.small(batches):
             texts = [t or b"" for t in batch.column(at).cast(pa.binary()).to_pylist()]
             found = measure_texts(texts)
             yield pa.RecordBatch.from_arrays(

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from cytospark.llm import textops
 from cytospark.session import cut_lineage, drop_cut
 
 SHINGLE_WORDS = 3
@@ -58,7 +59,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     schema = StructType([src.schema["doc_id"], StructField("fp", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textops.small(batches):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             fps = np.array([_fingerprint(t, shingle_words, seed) if t else 0 for t in texts], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])

@@ -7,11 +7,13 @@ instead of one Python call a word.  Two different words of a corpus with V words
 probability about V² / 2⁶²."""
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
+BATCH_ROWS = 512
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _rng.integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1)
@@ -56,6 +58,13 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((sums[ends] - sums[starts]) * down[starts])
 
 
+def small(batches: Iterable[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def groups(sizes: Sequence[int], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """Index ranges of neighbouring texts with at most ``limit`` bytes together (or one text)."""
     first, total = 0, 0

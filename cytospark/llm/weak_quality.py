@@ -139,7 +139,7 @@ def with_votes(docs: DataFrame) -> DataFrame:
     schema = StructType([docs.schema["doc_id"], StructField("votes", StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textops.small(batches):
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             found = []
             for a, b, counts, words in _blocks(texts):
@@ -209,7 +209,7 @@ def weak_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, bias = weights.value
-        for batch in batches:
+        for batch in textops.small(batches):
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             votes_, scores = [], []
             for a, b, counts, words in _blocks(texts):
@@ -228,7 +228,7 @@ def _sample(src: DataFrame, key, last: int | None, posterior: dict[str, float])
         return []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textops.small(batches):
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             for a, b, counts, words in _blocks(texts):
                 found = _features(counts, words, texts[a:b])
