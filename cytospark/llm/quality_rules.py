@@ -160,7 +160,9 @@ def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source")
     """The documents that neither the base rules nor their host's verdict reject, with the columns
     of ``docs``.  Texts are never shuffled: they are measured once for the hosts' counts and once
     more where they are filtered."""
-    prefix = fresh([c[:5] for c in docs.columns], "_qr_")
+    prefix = "_qr_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
     counted = with_measures(docs.select(text_col, host_col), text_col, prefix).drop(text_col)
     hosts = host_verdicts(counted, host_col, prefix)
     passed = with_measures(docs, text_col, prefix).where(~base_failed(prefix))

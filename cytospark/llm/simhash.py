@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from cytospark.llm import textops
+from cytospark.llm.common import fresh
 from cytospark.session import cut_lineage, drop_cut
 
 SHINGLE_WORDS = 3
@@ -226,6 +227,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One document of each near-duplicate group: the one with the smallest id (one row of it, if the
     id is repeated).  Documents without an id cannot be named as members of a group and stay."""
     comp = simhash_components(docs, id_col, text_col)
-    stay = comp.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_stay")).distinct()
-    first = docs.where(F.col(id_col).isNotNull()).join(stay, F.col(id_col) == F.col("_stay"), "left_semi")
+    name = fresh(docs.columns, "_stay")
+    stay = comp.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(name)).distinct()
+    first = docs.where(F.col(id_col).isNotNull()).join(stay, F.col(id_col) == F.col(name), "left_semi")
     return first.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
