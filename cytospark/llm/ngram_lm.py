@@ -18,7 +18,6 @@ training text every probability is uniform over the one unseen class (N = V = 0)
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +36,8 @@ PROBES = 6
 MAX_BYTES = 192 << 20
 PART_BYTES = 8 << 20
 MIN_PARTS = 64
+# Distinct bigrams that a task holds before it hands its counts on.
+FLUSH_KEYS = 3 << 19
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _LEVEL_STEP = np.uint64(0xD1342543DE82EF95)
 
@@ -92,7 +93,7 @@ class _Gathered:
         u, c = np.unique(keys, return_counts=True)
         self.more.append((u, c))
         self.size += len(u)
-        if self.size > max(1 << 20, len(self.keys)):
+        if self.size > max(1 << 18, len(self.keys) // 2):
             self.merge()
 
     def merge(self) -> None:
@@ -141,7 +142,7 @@ def gather(training: DataFrame, text_col: str, parts: int) -> DataFrame:
                 counts, tokens = _tokens(texts[a:b])
                 kinds[0].add(tokens)
                 kinds[1].add(_pair(_contexts(counts, tokens), tokens))
-            if len(kinds[1].keys) > 4 << 20:
+            if len(kinds[1].keys) > FLUSH_KEYS:
                 yield from flush()
         yield from flush()
     return training.select(text_col).mapInArrow(run, _PACKED)
@@ -234,12 +235,6 @@ class BloomCounts:
         return out
 
 
-@lru_cache(maxsize=1)
-def _loaded(holder):
-    filters, parts, bits, keys, counts = holder.value
-    return BloomCounts(filters.reshape(-1), parts, bits), keys, counts
-
-
 def _score_part(counts, tokens, levels_of, exact_of, total, distinct):
     """Per text: known tokens, base score and model score."""
     doc = np.repeat(np.arange(len(counts)), counts)
@@ -292,23 +287,28 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     for r in counted.where("kind = 0").select("part", "keys", "counts").toLocalIterator():
         keys[r["part"]] = np.frombuffer(r["keys"], np.uint64)
         counts[r["part"]] = _wide(r["counts"], len(keys[r["part"]]))
-    holder = spark.sparkContext.broadcast((filters, parts, bits, np.concatenate(keys), np.concatenate(counts)))
-    del filters, keys, counts
+    exact = np.concatenate(counts)
+    if exact.max(initial=0) < 2**32:
+        exact = exact.astype(np.uint32)
+    holder = spark.sparkContext.broadcast((filters, parts, bits, np.concatenate(keys), exact))
+    del filters, keys, counts, exact
     schema = StructType([src.schema["doc_id"], *[StructField(n, t) for n, t in _OUT if n != "held_out"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bloom, known, exact = _loaded(holder)
+        # The broadcast itself is what a worker keeps between tasks; nothing else may hold its arrays.
+        filters, _, _, known, exact = holder.value
+        bloom = BloomCounts(filters.reshape(-1), parts, bits)
 
         def exact_of(words: np.ndarray) -> np.ndarray:
             at = np.minimum(np.searchsorted(known, words), max(len(known) - 1, 0))
-            return np.where(known[at] == words, exact[at], 0) if len(known) else np.zeros(len(words), np.int64)
+            return np.where(known[at] == words, exact[at].astype(np.int64), 0) if len(known) else np.zeros(len(words), np.int64)
         for batch in textops.small(batches):
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            parts = [[np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)]]
+            found = [[np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)]]
             for a, b in textops.groups([len(t) for t in texts]):
                 counts, tokens = _tokens(texts[a:b])
-                parts.append([counts, *_score_part(counts, tokens, bloom.levels, exact_of, total, distinct)])
-            n, n_known, base, score = (np.concatenate(x) for x in zip(*parts))
+                found.append([counts, *_score_part(counts, tokens, bloom.levels, exact_of, total, distinct)])
+            n, n_known, base, score = (np.concatenate(x) for x in zip(*found))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(n_known, pa.int64()),
                  pa.array(np.full(len(texts), total, np.int64)), pa.array(base), pa.array(score)], names=[f.name for f in schema])
