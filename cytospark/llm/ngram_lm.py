@@ -271,15 +271,14 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     parts = max(MIN_PARTS, size // PART_BYTES)
     counted = cut_lineage(merged(gather(training, "text", parts)))
     sums = {r["kind"]: r for r in counted.groupBy("kind").agg(
-        F.sum("distinct").alias("distinct"), F.sum("entries").alias("entries"), F.sum("total").alias("total"),
-    ).collect()}
+        F.sum("distinct").alias("distinct"), F.sum("total").alias("total")).collect()}
     total = sums[0]["total"] if sums else 0
     distinct = sums[0]["distinct"] if sums else 0
-    entries = sum(r["entries"] for r in sums.values())
-    if entries * BITS_PER_ENTRY // 8 > max_bytes or distinct * 16 > max_bytes:
+    # The parts are equally large, by the fullest one; with uniform hashes that is near the mean.
+    fullest = counted.groupBy("part").agg(F.sum("entries").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+    bits = max(64, (fullest * BITS_PER_ENTRY + 7) // 8 * 8)
+    if parts * bits // 8 > max_bytes or distinct * 16 > max_bytes:
         return _scores_by_join(src, counted, total, distinct)
-    # A part's share of the entries strays little from the mean: the hashes are uniform.
-    bits = max(64, -(-entries * BITS_PER_ENTRY // parts + 7) // 8 * 8)
     filters = np.zeros((parts, bits // 8), dtype=np.uint8)
     for r in cut_lineage(build_parts(counted, bits)).toLocalIterator():
         filters[r["part"]] = np.frombuffer(r["bits"], np.uint8)
