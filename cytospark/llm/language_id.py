@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from cytospark.llm import textops
+from cytospark.llm.common import fresh, small_side
+from cytospark.session import cut_lineage
 
 DOCS_PER_LANG = 800
 PASSAGE_CHARS = 512
@@ -50,12 +52,18 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
           total_bytes: int = TOTAL_BYTES) -> dict[str, bytes]:
     """Dictionary contents by language, from the documents given."""
     text, key = F.col(text_col), F.xxhash64(id_col, text_col)
+    # Twice the wanted share of each language's documents, by the hash, before they are ranked: what
+    # meets in a language's task is bounded however many tasks there are.
+    counts = cut_lineage(docs.where(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("lang")).agg(
+        F.count(F.lit(1)).alias("n")))
+    side, _ = small_side(counts, "lang")
     room = F.greatest(F.length(text) - passage_chars, F.lit(0)) + 1
     src = docs.where(F.col(lang_col).isNotNull() & text.rlike(r"\p{L}")).select(
         F.col(lang_col).alias("lang"), key.alias("key"),
         F.substring(text, (F.pmod(key, room) + 1).cast("int"), F.lit(passage_chars)).alias("passage"))
     first = Window.partitionBy("lang").orderBy("key", "passage")
-    rows = src.withColumn("r", F.row_number().over(first)).where(F.col("r") <= docs_per_lang) \
+    share = F.pmod("key", F.lit(1 << 31)) / float(1 << 31)
+    rows = src.join(side, "lang").where(share * F.col("n") < 2 * docs_per_lang).withColumn("r", F.row_number().over(first)).where(F.col("r") <= docs_per_lang) \
         .groupBy("lang", "passage").agg(F.min("r").alias("r")).orderBy("lang", "r").select("lang", "passage").collect()
     passages: dict[str, list[bytes]] = {}
     for r in rows:
@@ -124,7 +132,6 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                     min_margin: float = MIN_MARGIN) -> DataFrame:
     """The documents whose language is identified with enough margin, with the columns of ``docs``."""
-    from cytospark.llm.common import fresh
     names = tuple(fresh(docs.columns, n) for n in ("_lang_pred", "_lang_score", "_lang_margin"))
     learnt = learn(docs.where(in_training(F.col(id_col))), id_col, text_col, lang_col)
     found = with_language(docs, learnt, names, text_col)
