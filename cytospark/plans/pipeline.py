@@ -11,7 +11,7 @@ from cytospark.operators import cutpoints, labels, transform
 
 
 def augment(df: DataFrame, b: float | None = 1 / 150, channels: Sequence[str] | None = None, bins: int = 4,
-            zero_threshold: float = 0.90, max_sample: int = 2000, seed: int = 666, remove_outliers: bool = False,
+            zero_threshold: float = 0.90, max_sample: int | None = None, seed: int = 666, remove_outliers: bool = False,
             outlier_kw: dict | None = None, exclude_re: str | None = EXCLUDED_CHANNELS_RE,
             by: str = "sample_id") -> tuple[DataFrame, DataFrame]:
     """Outlier segments (optional) → arcsinh → cutoffs per (sample, channel) → labels (D8).

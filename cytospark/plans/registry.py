@@ -282,20 +282,19 @@ def q_baseline_cut(spark, sf):
     return cutpoints.baseline_cut(fx.stream_events(spark, sf), "value", ["sample_id"]).select("sample_id", "event_id")
 
 
-BISECT_SQL = with_views("", "stream_events").rstrip() + ",\n" + f"""samp AS (SELECT sample_id, value AS v FROM (
-    SELECT sample_id, event_id, value, row_number() OVER (PARTITION BY sample_id
-      ORDER BY md5(CAST(event_id AS VARCHAR) || '|666'), event_id) AS rn FROM stream_events) WHERE rn <= 2000 AND value IS NOT NULL),
-{_baseline_sql('samp', 'b1')},
-z AS (SELECT sample_id, v, row_number() OVER w AS p, sum(v) OVER w AS cp,
+def _bisect_sql(src: str, p: str, positive: bool) -> str:
+    """CTEs that give ``{p}_cut(sample_id, cutoff, silhouette)``: the best two-way cut of ``src(sample_id, v)`` over all
+    rows, by ranks and prefix sums; of equal scores the smallest cut."""
+    only = " WHERE mn + k * ((mx - mn) / 99) > 0" if positive else ""
+    return f"""{p}_z AS (SELECT sample_id, v, row_number() OVER w AS p, sum(v) OVER w AS cp,
     count(*) OVER (PARTITION BY sample_id) AS n, sum(v) OVER (PARTITION BY sample_id) AS tot
-  FROM b1 WINDOW w AS (PARTITION BY sample_id ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-st AS (SELECT sample_id, min(v) AS mn, max(v) AS mx FROM b1 GROUP BY sample_id),
-cuts AS (SELECT sample_id, k, mn + k * ((mx - mn) / 99) AS cut FROM st, range(100) t(k) WHERE mn + k * ((mx - mn) / 99) > 0),
-cm AS (SELECT c.sample_id, c.k, c.cut, count(z.v) AS m FROM cuts c LEFT JOIN z ON z.sample_id = c.sample_id AND z.v <= c.cut
-  GROUP BY c.sample_id, c.k, c.cut),
-ms AS (SELECT DISTINCT c.sample_id, c.m, coalesce((SELECT max(cp) FROM z WHERE z.sample_id = c.sample_id AND z.p <= c.m), 0) AS c_m
-  FROM cm c),
-sc AS (SELECT ms.sample_id, ms.m, CASE WHEN ms.m = 0 OR ms.m = max(z.n) THEN -2 ELSE avg(
+  FROM {src} WINDOW w AS (PARTITION BY sample_id ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+{p}_st AS (SELECT sample_id, min(v) AS mn, max(v) AS mx FROM {src} GROUP BY sample_id),
+{p}_cuts AS (SELECT sample_id, k, mn + k * ((mx - mn) / 99) AS cut FROM {p}_st, range(100) t(k){only}),
+{p}_cm AS (SELECT c.sample_id, c.k, c.cut, count(z.v) AS m, coalesce(sum(z.v), 0) AS c_m FROM {p}_cuts c
+  LEFT JOIN {p}_z z ON z.sample_id = c.sample_id AND z.v <= c.cut GROUP BY c.sample_id, c.k, c.cut),
+{p}_ms AS (SELECT sample_id, m, any_value(c_m) AS c_m FROM {p}_cm GROUP BY sample_id, m),
+{p}_sc AS (SELECT ms.sample_id, ms.m, CASE WHEN ms.m = 0 OR ms.m = max(z.n) THEN -2 ELSE avg(
     CASE WHEN z.p <= ms.m THEN
       CASE WHEN ms.m = 1 THEN 0 ELSE
         (SELECT CASE WHEN greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END FROM (SELECT
@@ -307,18 +306,32 @@ sc AS (SELECT ms.sample_id, ms.m, CASE WHEN ms.m = 0 OR ms.m = max(z.n) THEN -2
           (z.v * (z.p - 1 - ms.m) - (z.cp - z.v - ms.c_m) + (z.tot - z.cp) - z.v * (z.n - z.p)) / (z.n - ms.m - 1) AS a,
           (z.v * ms.m - ms.c_m) / ms.m AS b)) END
     END) END AS score
-  FROM ms JOIN z ON z.sample_id = ms.sample_id GROUP BY ms.sample_id, ms.m),
-best AS (SELECT sample_id, m, score FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY score DESC, m) AS r FROM sc) WHERE r = 1)
-SELECT b.sample_id, round(min(c.cut), 6) AS cutoff, round(any_value(b.score), 6) AS silhouette
-  FROM best b JOIN cm c ON c.sample_id = b.sample_id AND c.m = b.m GROUP BY b.sample_id"""
+  FROM {p}_ms ms JOIN {p}_z z ON z.sample_id = ms.sample_id GROUP BY ms.sample_id, ms.m),
+{p}_best AS (SELECT sample_id, m, score FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY round(score, 12) DESC, m) AS r
+  FROM {p}_sc) WHERE r = 1),
+{p}_cut AS (SELECT b.sample_id, min(c.cut) AS cutoff, any_value(b.score) AS silhouette
+  FROM {p}_best b JOIN {p}_cm c ON c.sample_id = b.sample_id AND c.m = b.m GROUP BY b.sample_id)"""
 
 
-@register("bisect_silhouette", BISECT_SQL)
+_STREAM_V = with_views("", "stream_events").rstrip() + ",\nsrc AS (SELECT sample_id, value AS v FROM stream_events WHERE value IS NOT NULL),\n"
+
+
+@register("bisect_silhouette", _STREAM_V + _baseline_sql("src", "b1") + ",\n" + _bisect_sql("b1", "f", True)
+          + "\nSELECT sample_id, round(cutoff, 6) AS cutoff, round(silhouette, 6) AS silhouette FROM f_cut")
 def q_bisect(spark, sf):
-    r = cutpoints.bisect(fx.stream_events(spark, sf), ["value"], max_sample=2000, use_baseline=True, min_x=0.0)
+    r = cutpoints.bisect(fx.stream_events(spark, sf), ["value"])
     return r.select("sample_id", r6(F.col("cutoff")).alias("cutoff"), r6(F.col("silhouette")).alias("silhouette"))
 
 
+def _sides_sql(whole: str, p: str) -> str:
+    """CTEs of a four-bin search on ``whole(sample_id, v)`` (already cut to its baseline): ``{p}_c1``, ``{p}_t1``, ``{p}_t2``."""
+    return ",\n".join([
+        _baseline_sql(whole, f"{p}b"), _bisect_sql(f"{p}b", f"{p}1", True),
+        f"{p}hi AS (SELECT s.sample_id, s.v FROM {whole} s JOIN {p}1_cut c USING (sample_id) WHERE s.v > c.cutoff)",
+        f"{p}lo AS (SELECT s.sample_id, s.v FROM {whole} s JOIN {p}1_cut c USING (sample_id) WHERE s.v <= c.cutoff)",
+        _bisect_sql(f"{p}hi", f"{p}2", False), _bisect_sql(f"{p}lo", f"{p}3", False)])
+
+
 BLANK_THRESHOLD = 0.05   # discounts of 0 make up about 1/11 of the lines: disc is blank at this threshold
 
 
@@ -346,18 +359,48 @@ def q_mean_cutoffs(spark, sf):
 
 
 # rows-only: the silhouette search has no SQL twin beyond bisect; checked by tests on planted data
-@register("find_cutoffs")
+_CUTS_SQL = ",\n".join(
+    [with_views("", "line_events").rstrip()] + [
+        f"{c}_src AS (SELECT sample_id, asinh(1 + {c} / 8) AS v FROM line_events WHERE {c} IS NOT NULL),\n"
+        + _baseline_sql(f"{c}_src", f"{c}_o") + ",\n" + _sides_sql(f"{c}_o", f"{c}_") + f""",
+{c}_ms AS (SELECT sample_id, avg(v) AS m FROM {c}_src GROUP BY sample_id),
+{c}_mean AS (SELECT s.sample_id, any_value(m) AS m, avg(v) FILTER (v > m) AS t1, avg(v) FILTER (v <= m) AS t2, min(v) AS mn, max(v) AS mx
+  FROM {c}_src s JOIN {c}_ms USING (sample_id) GROUP BY s.sample_id),
+{c}_cuts AS (SELECT r.sample_id, CASE WHEN a.cutoff IS NULL OR b.cutoff IS NULL OR d.cutoff IS NULL
+      OR len(list_distinct([a.cutoff, b.cutoff, d.cutoff])) < 3
+      OR len(list_filter([a.cutoff, b.cutoff, d.cutoff], lambda x: x = r.mn OR x = r.mx)) > 0
+    THEN list_sort(list_filter([r.m, r.t1, r.t2], lambda x: x IS NOT NULL)) ELSE list_sort([a.cutoff, b.cutoff, d.cutoff]) END AS cuts
+  FROM {c}_mean r LEFT JOIN {c}_1_cut a USING (sample_id) LEFT JOIN {c}_2_cut b USING (sample_id) LEFT JOIN {c}_3_cut d USING (sample_id))"""
+        for c in LC])
+
+
+@register("find_cutoffs", _CUTS_SQL + "\n" + " UNION ALL ".join(
+    f"SELECT sample_id, '{c}' AS channel, CAST(generate_subscripts(cuts, 1) AS INTEGER) AS cut_no, round(unnest(cuts), 6) AS cutoff FROM {c}_cuts"
+    for c in LC))
 def q_find_cutoffs(spark, sf):
     ev = transform.arcsinh(fx.line_events(spark, sf), b=1 / 8, channels=LC)
-    return cutpoints.find_cutoffs(ev, LC, bins=4, max_sample=2000)
+    return cutpoints.find_cutoffs(ev, LC, bins=4).select("sample_id", "channel", "cut_no", r6(F.col("cutoff")).alias("cutoff"))
 
 
-@register("multisect")
+@register("multisect", _STREAM_V + _baseline_sql("src", "b0") + ",\n" + _sides_sql("b0", "s_")
+          + """\nSELECT sample_id, list_transform(list_sort([a.cutoff, b.cutoff, c.cutoff]), lambda x: round(x, 6)) AS cutoffs
+FROM s_1_cut a JOIN s_2_cut b USING (sample_id) JOIN s_3_cut c USING (sample_id)""")
 def q_multisect(spark, sf):
-    return cutpoints.multisect(fx.stream_events(spark, sf), ["value"], bins=3, max_sample=2000)
+    m = cutpoints.multisect(fx.stream_events(spark, sf), ["value"], bins=4)
+    return m.select("sample_id", F.transform("cutoffs", lambda x: F.round(x, 6)).alias("cutoffs"))
+
 
+@register("trisect")
+def q_trisect(spark, sf):
+    return cutpoints.multisect(fx.stream_events(spark, sf), ["value"], bins=3)
 
-@register("augment")
+
+_LABELS_SQL = ", ".join("CASE list_count(list_filter({c}_cuts.cuts, lambda x: x <= asinh(1 + {c} / 8))) "
+                        "WHEN 0 THEN '-' WHEN 1 THEN 'd' WHEN 2 THEN '+' WHEN 3 THEN '++' END AS {c}__pm".format(c=c) for c in LC)
+
+
+@register("augment", _CUTS_SQL + f"\nSELECT sample_id, event_id, {_LABELS_SQL} FROM line_events "
+          + " ".join(f"JOIN {c}_cuts USING (sample_id)" for c in LC))
 def q_augment(spark, sf):
     from cytospark.plans.pipeline import augment
     lab, _ = augment(fx.line_events(spark, sf), b=1 / 8, channels=LC)
@@ -579,11 +622,7 @@ def q_mem(spark, sf):
     return m.select("cluster", "channel", r6(F.col("score")).alias("score"))
 
 
-@register("enrichment_labels", _MEM_SQL + """, t AS (SELECT quantile_cont(abs(score), 0.5) AS t FROM mem)
-SELECT cluster, string_agg(channel || CASE WHEN score < -t THEN 'lo' WHEN score < 0 THEN '-' WHEN score > t THEN 'hi' ELSE '+' END, ''
-  ORDER BY CASE channel WHEN 'qty' THEN 0 WHEN 'price' THEN 1 WHEN 'disc' THEN 2 ELSE 3 END) AS label
-  FROM mem, t WHERE score <> 0 GROUP BY cluster""".replace(", t AS", "").replace("SELECT cluster, string_agg", "SELECT cluster, string_agg", 1)
-          if False else _MEM_SQL.rstrip() + """,
+@register("enrichment_labels", _MEM_SQL.rstrip() + """,
 t AS (SELECT quantile_cont(abs(score), 0.5) AS t FROM mem)
 SELECT cluster, string_agg(channel || CASE WHEN score < -t THEN 'lo' WHEN score < 0 THEN '-' WHEN score > t THEN 'hi' ELSE '+' END, ''
   ORDER BY CASE channel WHEN 'qty' THEN 0 WHEN 'price' THEN 1 WHEN 'disc' THEN 2 ELSE 3 END) AS label
@@ -679,12 +718,11 @@ def q_rescale_quantile(spark, sf):
 
 
 @register("rescale_sd", with_views("", "line_events").rstrip() + """,
-lim AS (SELECT sample_id, event_id, greatest(qty - 1.0, 0) AS qty, tax FROM (
-  SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY event_id) AS rn FROM line_events) WHERE rn <= 500)
+lim AS (SELECT sample_id, event_id, greatest(qty - 1.0, 0) AS qty, tax FROM line_events)
 SELECT sample_id, event_id, round(qty / (SELECT stddev_samp(qty) FROM lim), 6) AS qty, tax FROM lim""")
 def q_rescale_sd(spark, sf):
     ev = fx.line_events(spark, sf).select("sample_id", "event_id", "qty", "tax")
-    r = pre.rescale(ev, ["qty"], limit_events_per_file=500, noise_threshold=1.0, rescale="SD")
+    r = pre.rescale(ev, ["qty"], noise_threshold=1.0, rescale="SD")
     return r.withColumn("qty", r6(F.col("qty")))
 
 
