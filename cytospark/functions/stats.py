@@ -7,11 +7,12 @@ passes over the data:
 1. per group: ``count``, ``min``, ``max`` and a ``percentile_approx`` bracket around each requested
    probability (rank error of the sketch is at most n/accuracy, so the bracket p ± 2/accuracy is sure
    to hold the target ranks);
-2. per group and probability: the number of values below the bracket and the sorted values inside
-   it (about 4·n/accuracy of them), from which the two order statistics around rank p·(n−1) are read
-   and interpolated linearly (R type 7, DuckDB ``quantile_cont``, Spark ``percentile``).
+2. per group and probability: the number of values below the bracket, and the distinct values inside it
+   with their counts (ties are one row, however many) and a running count, from which the two order
+   statistics around rank p·(n−1) are read and interpolated linearly (R type 7, DuckDB
+   ``quantile_cont``, Spark ``percentile``).
 
-Both passes are hash aggregates with map-side partial aggregation; the only per-group state is the
+The passes are hash aggregates with map-side partial aggregation; the only per-group state is the
 sketch and the bracket.
 """
 from __future__ import annotations
@@ -20,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from cytospark.functions.plan import checked_side
 
@@ -56,30 +58,47 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         aggs += [F.sum(F.when(F.col("_v") < lo, 1).otherwise(0)).alias(f"_b{i}"),
                  F.max(F.when(F.col("_v") < lo, F.col("_v"))).alias(f"_mb{i}"),
-                 F.min(F.when(F.col("_v") > hi, F.col("_v"))).alias(f"_ma{i}"),
-                 F.collect_list(F.when((F.col("_v") >= lo) & (F.col("_v") <= hi), F.col("_v"))).alias(f"_c{i}")]
+                 F.min(F.when(F.col("_v") > hi, F.col("_v"))).alias(f"_ma{i}")]
     g = j.groupBy(*keys).agg(*aggs)
+    # The distinct values inside each bracket with their counts, ties as one row, and a running count.
+    inside = [F.when((F.col("_v") >= F.col(f"_lo{i}")) & (F.col("_v") <= F.col(f"_hi{i}")), F.lit(i)) for i in range(k)]
+    vc = j.select(*keys, "_v", F.explode(F.filter(F.array(*inside), lambda x: x.isNotNull())).alias("_i")) \
+        .groupBy(*keys, "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*keys, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Rank floor(p(n-1)) and the next one; the sketch's rank rule (value at rank ceil(p·n)) can put the first one
+    # below the bracket, or the second above.
+    same = [F.col(key).eqNullSafe(F.col(f"_k_{key}")) for key in keys]
+    known = checked_side(g.select(*[F.col(key).alias(f"_k_{key}") for key in keys], *[c for c in g.columns if c not in keys]))
+    ranked = vc.withColumn("_cum", F.sum("_c").over(w))
+    ranked = ranked.join(known, _all(same)) if keys else ranked.crossJoin(F.broadcast(known))
+    picks = []
+    for i, p in enumerate(probs):
+        fl = F.floor(F.lit(p) * (F.col("_n") - 1))
+        upto, mine = F.col(f"_b{i}") + F.col("_cum"), F.col("_i") == i
+        for name, rank in ((f"_x{i}", fl), (f"_y{i}", fl + 1)):
+            picks.append(F.max(F.when(mine & (upto - F.col("_c") <= rank) & (rank < upto), F.col("_v"))).alias(name))
+    picked = ranked.groupBy(*keys).agg(*picks, *[F.first(c).alias(c) for c in known.columns if not c.startswith("_k_")])
     outs = []
     for i, p in enumerate(probs):
-        c = F.array_sort(F.col(f"_c{i}"))
         h = F.lit(p) * (F.col("_n") - 1)
-        fl = F.floor(h)
-        # 1-based position of order statistic floor(h) inside the bracket; the sketch's rank rule
-        # (value at rank ceil(p·n)) can put it one below the bracket, or its successor one above.
-        r0 = (fl - F.col(f"_b{i}")).cast("int") + 1
-        sz = F.size(c)
-        v0 = F.when(r0 < 1, F.col(f"_mb{i}")).otherwise(F.element_at(c, F.least(F.greatest(r0, F.lit(1)), sz)))
-        v1 = F.when(r0 + 1 > sz, F.col(f"_ma{i}")).otherwise(F.element_at(c, F.least(F.greatest(r0 + 1, F.lit(1)), sz)))
-        frac = h - fl
+        frac = h - F.floor(h)
+        v0 = F.coalesce(F.col(f"_x{i}"), F.col(f"_mb{i}"))
+        v1 = F.coalesce(F.col(f"_y{i}"), F.col(f"_ma{i}"))
         val = F.when(frac == 0, v0).otherwise(v0 + frac * (v1 - v0))
         outs.append(F.when(F.col("_n") > 0, val).alias(names[i]))
-    res = g.select(*keys, *outs)
+    res = picked.select(*keys, *outs)
     # groups whose values are all NULL keep a row with NULL quantiles
-    return stats.select(*keys).join(res, keys, "left")
+    if not keys:
+        return res
+    right = res.select(*[F.col(key).alias(f"_k_{key}") for key in keys], *names)
+    return stats.select(*keys).join(right, _all(same), "left").select(*keys, *names)
 
 
-def median_col_sql(col: str) -> str:
-    return f"quantile_cont({col}, 0.5)"
+def _all(conditions: Sequence[Column]) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out & c
+    return out
 
 
 def long_form(df: DataFrame, keys: Sequence[str], channels: Sequence[str], name: str = "channel",
@@ -96,19 +115,15 @@ def channel_quantiles(df: DataFrame, keys: Sequence[str], channels: Sequence[str
     return exact_quantiles(lf, list(keys) + ["channel"], "value", probs, accuracy, names)
 
 
-def round6(c: Column) -> Column:
-    return F.round(c, 6)
-
-
 def complement_quantiles(lf: DataFrame, group: str, probs: Sequence[float], key: str = "channel",
                          value: str = "value", bins: int = 4096, names: Sequence[str] | None = None) -> DataFrame:
     """Exact type-7 quantiles, per group and ``key``, of all rows **not** in the group.
 
     Per key, values are binned on ``bins`` equal-width bins; the complement's bin counts are the
     key's counts minus the group's, so a small grouped task per (group, key) finds the bins holding
-    the two order statistics of every probability.  Only the complement values inside those bins
-    are then collected (an equi-join of rows with the target (key, bin) list).  Nothing pairs rows
-    with groups wholesale."""
+    the two order statistics of every probability.  The distinct values of
+    those bins are then counted over all groups and in the group, and the differences are read in
+    order; no event is paired with another group."""
     import numpy as np
     import pandas as pd
 
@@ -155,12 +170,16 @@ def complement_quantiles(lf: DataFrame, group: str, probs: Sequence[float], key:
     tgt = task_in.groupBy(group, key).applyInPandas(
         locate, f"{group} {gtype}, {key} string, _p int, _rank long, _bin int, _pos long, _m long")
     tgt = checked_side(tgt)
-    # complement values in the target bins: rows of other groups whose (key, bin) is a target
+    # Distinct values of the target bins with their counts in all groups, less those of the group itself.
     tb = tgt.select(F.col(group).alias("_g"), key, "_bin").distinct()
-    vals = b.select(group, key, "_bin", "_v").join(tb, [key, "_bin"]).where(F.col(group) != F.col("_g")) \
-        .groupBy("_g", key, "_bin").agg(F.array_sort(F.collect_list("_v")).alias("_vals"))
-    picked = tgt.join(vals.withColumnRenamed("_g", group), [group, key, "_bin"]) \
-        .withColumn("_x", F.element_at("_vals", (F.col("_pos") + 1).cast("int")))
+    whole = b.groupBy(key, "_bin", "_v").agg(F.count(F.lit(1)).alias("_a"))
+    own = b.groupBy(F.col(group).alias("_g"), key, "_bin", "_v").agg(F.count(F.lit(1)).alias("_o"))
+    left = whole.join(tb, [key, "_bin"]).join(own, ["_g", key, "_bin", "_v"], "left") \
+        .withColumn("_c", F.col("_a") - F.coalesce("_o", F.lit(0))).where(F.col("_c") > 0)
+    w = Window.partitionBy("_g", key, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    vals = left.withColumn("_cum", F.sum("_c").over(w)).select(F.col("_g").alias(group), key, "_bin", "_v", "_c", "_cum")
+    picked = tgt.join(vals, [group, key, "_bin"]).where((F.col("_cum") - F.col("_c") <= F.col("_pos")) & (F.col("_pos") < F.col("_cum"))) \
+        .withColumn("_x", F.col("_v"))
     pv = picked.groupBy(group, key, "_p").agg(
         F.min(F.struct("_rank", "_x")).alias("_lo"), F.max(F.struct("_rank", "_x")).alias("_hi"), F.first("_m").alias("_m"))
     outs = []
