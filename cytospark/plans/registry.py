@@ -949,3 +949,114 @@ def q_metacluster_join(spark, sf):
 @register("metacluster")
 def q_metacluster(spark, sf):
     return mcl.metacluster(fx.vec_events(spark, sf), VC, k=10)
+
+
+# ------------------------------------------------------------------ B3, B7, B9, B11, B12
+@register("common_channel_order", with_views("", "panel_fx").rstrip() + """
+SELECT count(DISTINCT names) <= 1 AS common FROM (SELECT sample_id, string_agg(name, '/' ORDER BY pos, name) AS names FROM panel_fx GROUP BY sample_id)""")
+def q_common_channel_order(spark, sf):
+    return spark.createDataFrame([(pnl.common_channel_order(fx.panel_fx(spark, sf)),)], "common boolean")
+
+
+@register("rename_reorder", with_views("SELECT sample_id, event_id, tax, price AS worth, qty AS amount FROM line_events", "line_events"))
+def q_rename_reorder(spark, sf):
+    ev = fx.line_events(spark, sf).select("sample_id", "event_id", "qty", "price", "tax")
+    return pnl.reorder_channels(pnl.rename_to_markers(ev, {"price": "worth", "qty": "amount"}), ["tax", "worth"])
+
+
+_SHEET = "CASE p_size % 4 WHEN 0 THEN '  ' WHEN 1 THEN ' y ' WHEN 2 THEN NULL ELSE 'X' END"
+
+
+@register("normalise_usage", f"""SELECT p_partkey AS id, p_name AS name, CASE WHEN coalesce(trim({_SHEET}), '') <> '' THEN 'X' END AS use FROM part""")
+def q_normalise_usage(spark, sf):
+    sheet = fx.table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.expr(_SHEET).alias("use"))
+    return pnl.normalise_usage(sheet)
+
+
+# ------------------------------------------------------------------ C9, C10
+@register("expression_subset", with_views("""SELECT sample_id, event_id, round(asinh(1 + qty / 8), 6) AS qty, round(asinh(1 + tax / 8), 6) AS tax FROM (
+  SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY md5(CAST(event_id AS VARCHAR) || '|666'), event_id) AS rn FROM line_events)
+  WHERE rn <= 700""", "line_events"))
+def q_expression_subset(spark, sf):
+    e = transform.expression_subset(fx.line_events(spark, sf), b=1 / 8, channels=["qty", "tax"], n=700)
+    return e.select("sample_id", "event_id", r6(F.col("qty")).alias("qty"), r6(F.col("tax")).alias("tax"))
+
+
+_STRATEGY = [("cheap", {"price": "< 40000"}), ("taxed", {"tax": "> 0.01"})]
+
+
+@register("aggregate_samples", with_views("""SELECT sample_id, event_id, gated FROM (
+  SELECT sample_id, event_id, count(*) OVER (PARTITION BY sample_id) AS gated,
+    row_number() OVER (PARTITION BY sample_id ORDER BY md5(CAST(event_id AS VARCHAR) || '|666'), event_id) AS rn
+  FROM line_events WHERE price < 40000 AND tax > 0.01) WHERE rn <= 500""", "line_events"))
+def q_aggregate_samples(spark, sf):
+    events, totals = transform.aggregate_samples(fx.line_events(spark, sf), _STRATEGY, n=500)
+    return events.join(totals, "sample_id").select("sample_id", "event_id", "gated")
+
+
+# ------------------------------------------------------------------ F12, I4, I5
+@register("choose_cluster_set", with_views("""SELECT CASE WHEN count(DISTINCT cluster) >= count(DISTINCT cluster2) THEN 'cluster' ELSE 'cluster2' END AS chosen
+  FROM line_events""", "line_events"))
+def q_choose_cluster_set(spark, sf):
+    return spark.createDataFrame([(phenotype.choose_cluster_set(fx.line_events(spark, sf), "cluster", "cluster2"),)], "chosen string")
+
+
+@register("prepare_metadata", "SELECT s_name AS id, 'B6' AS \"group\" FROM supplier")
+def q_prepare_metadata(spark, sf):
+    return smp.prepare_metadata(fx.sample_files(spark, sf), group="B6")
+
+
+@register("check_metadata", 'SELECT id, "group", balance FROM (' + with_views('SELECT id, "group", round(balance, 6) AS balance FROM covariates', "covariates") + ")")
+def q_check_metadata(spark, sf):
+    return smp.check_metadata(fx.covariates(spark, sf)).select("id", "group", r6(F.col("balance")).alias("balance"))
+
+
+# ------------------------------------------------------------------ H1 with empty cells and NULL clusters, H3, H4, L7
+_SPARSE = "CASE WHEN qty < 5 THEN NULL WHEN qty > 45 AND sample_id % 2 = 0 THEN 'rare' WHEN sample_id = 3 AND qty > 20 THEN 'one' ELSE cluster2 || '' END"
+
+
+@register("abundance_sparse", with_views("", "line_events").rstrip() + f""",
+e AS (SELECT sample_id, {_SPARSE} AS cluster FROM line_events)
+SELECT c.cluster, t.sample_id, coalesce(k.n, 0) AS n, t.total, round(coalesce(k.n, 0) * 100.0 / t.total, 6) AS percent
+FROM (SELECT DISTINCT cluster FROM e WHERE cluster IS NOT NULL) c
+CROSS JOIN (SELECT sample_id, count(*) AS total FROM e GROUP BY 1 HAVING count(cluster) > 0) t
+LEFT JOIN (SELECT cluster, sample_id, count(*) AS n FROM e GROUP BY 1, 2) k ON k.cluster = c.cluster AND k.sample_id = t.sample_id""")
+def q_abundance_sparse(spark, sf):
+    ev = fx.line_events(spark, sf)
+    c = ab.abundance_counts(ev.select("sample_id", F.expr(_SPARSE.replace("|| ''", "").replace("ELSE cluster2", "ELSE CAST(cluster2 AS STRING)")).alias("cluster")))
+    return c.withColumn("percent", r6(F.col("percent")))
+
+
+def _abundance_fit(spark, sf):
+    from cytospark.operators import models
+    counts = ab.abundance_counts(fx.line_samples_many(spark, sf))
+    meta = fx.supplier_meta(spark, sf)
+    groups = [r[0] for r in meta.select("group").distinct().orderBy("group").limit(2).collect()]
+    pair = meta.where(F.col("group").isin(groups))
+    design, names = ab.design_matrix(pair, "~ group", key="sample_id")
+    return models.differential_abundance(counts.join(F.broadcast(pair.select("sample_id")), "sample_id", "left_semi"), design, names), names[1]
+
+
+@register("abundance_glm")
+def q_abundance_glm(spark, sf):
+    fits, _ = _abundance_fit(spark, sf)
+    return fits.select("cluster", "coefficients", "dispersion", "deviance", "df", "s2", "logCPM")
+
+
+@register("test_contrasts")
+def q_test_contrasts(spark, sf):
+    from cytospark.operators import models
+    fits, name = _abundance_fit(spark, sf)
+    return models.test_contrasts(fits, {name: {name: 1.0}})
+
+
+@register("overlay", with_views("", "line_events", "line_meta").rstrip() + """,
+res AS (SELECT cluster, round(ln(avg(price) / 30000) / ln(2), 6) AS logFC, round(avg(disc), 6) AS FDR FROM line_events WHERE cluster IS NOT NULL GROUP BY cluster)
+SELECT e.sample_id, e.event_id, e.cluster, CASE WHEN r.FDR > 0.05 THEN 0 ELSE r.logFC END AS logFC, r.FDR, m."group"
+FROM line_events e LEFT JOIN res r USING (cluster) LEFT JOIN line_meta m ON m.sample_id = e.sample_id""")
+def q_overlay(spark, sf):
+    ev = fx.line_events(spark, sf)
+    res = ev.where("cluster IS NOT NULL").groupBy("cluster").agg(
+        r6(F.log(F.avg("price") / 30000) / F.log(F.lit(2.0))).alias("logFC"), r6(F.avg("disc")).alias("FDR"))
+    o = tables.differential_overlay(ev, res, fx.line_samples(spark, sf).select("sample_id", "group"))
+    return o.select("sample_id", "event_id", "cluster", "logFC", "FDR", "group")
