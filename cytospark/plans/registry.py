@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cytospark.functions.expr import LEVELS, MERGED_LABELS, label_case_sql, pm
+from cytospark.session import configure
 from cytospark.operators import gating, labels, phenotype, tables, transform
 from cytospark.sources import fixtures as fx
 from cytospark.sources.fixtures import LINE_CHANNELS as LC, LINE_CUTOFFS, LINE_DEFINITIONS, with_views
@@ -21,7 +22,10 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            configure(spark)          # the settings that the operators' plans rely on
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -753,11 +757,11 @@ def q_segment_stats(spark, sf):
 @register("remove_outliers", _SEG_SQL + """, z AS (SELECT sample_id, segment, density, """ + " + ".join(
     f"coalesce(abs(({s} - avg({s}) OVER w) / nullif(stddev_samp({s}) OVER w, 0)), 0)" for s in olr.STATS)
           + """ AS score FROM st WINDOW w AS (PARTITION BY sample_id, channel)),
-q AS (SELECT sample_id, segment, score > avg(score) OVER (PARTITION BY sample_id) + 3.0 * coalesce(stddev_samp(score) OVER (PARTITION BY sample_id), 0)
+q AS (SELECT sample_id, segment, score > avg(score) OVER (PARTITION BY sample_id) + 1.0 * coalesce(stddev_samp(score) OVER (PARTITION BY sample_id), 0)
   OR coalesce(density < 0.1 * max(density) OVER (PARTITION BY sample_id), false) AS removed FROM z)
 SELECT s.sample_id, s.event_id FROM seg s JOIN q USING (sample_id, segment) WHERE NOT q.removed""")
 def q_remove_outliers(spark, sf):
-    return olr.remove_outlier_segments(fx.stream_events(spark, sf), ["value"], 500, 3.0, 0.10).select("sample_id", "event_id")
+    return olr.remove_outlier_segments(fx.stream_events(spark, sf), ["value"], 500, 1.0, 0.10).select("sample_id", "event_id")
 
 
 # ------------------------------------------------------------------ C4

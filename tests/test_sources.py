@@ -58,3 +58,33 @@ def test_stage_store_cascade(spark):
     for n, v in zip("abc", (1, 2, 3)):
         s2.run(n, mk(v))
     assert calls == [1, 2, 3, 2, 3]
+
+
+def test_read_events_paths_with_spaces_and_equal_tails(spark, tmp_path):
+    from cytospark.sources.events import read_events
+    paths = []
+    for i, name in enumerate(["one x/a b.parquet", "two/one x/a b.parquet", "plus+%41/c.parquet"]):
+        p = str(tmp_path / name)
+        spark.createDataFrame([(float(i),), (10.0 + i,)], "ch1 double").coalesce(1).write.parquet(p)
+        paths.append(p)
+    ev = read_events(spark, paths)
+    rows = sorted((r.sample_id, r.ch1) for r in ev.collect())
+    assert rows == [(1, 0.0), (1, 10.0), (2, 1.0), (2, 11.0), (3, 2.0), (3, 12.0)]
+    again = {(r.event_id, r.ch1) for r in read_events(spark, paths).collect()}
+    assert again == {(r.event_id, r.ch1) for r in ev.collect()} and len({i for i, _ in again}) == 6
+
+
+def test_write_by_cluster_keeps_long_and_alike_names_apart(spark, tmp_path):
+    from cytospark.sources.events import write_by_cluster
+    long = "c" * 40
+    df = spark.createDataFrame([(1, long + "1"), (2, long + "2"), (3, "a b"), (4, "a_b")], "event_id long, s string")
+    write_by_cluster(df, ["s"], str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.select("cluster").distinct().count() == 4
+
+
+def test_broadcast_goes_by_bytes(spark):
+    from cytospark.functions.plan import checked_side
+    df = spark.range(100).selectExpr("id", "transform(sequence(1, 1000), x -> double(x)) AS a")
+    plan = lambda d: d._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" in plan(checked_side(df)) and "strategy=broadcast" not in plan(checked_side(df, 100_000))
