@@ -112,6 +112,7 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(counts, first)
 
 
+_SENT: list = []
 _PACKED = "kind int, part int, keys binary, counts binary"
 
 
@@ -145,6 +146,7 @@ def gather(training: DataFrame, text_col: str, parts: int) -> DataFrame:
             if len(kinds[1].keys) > FLUSH_KEYS:
                 yield from flush()
         yield from flush()
+        textops.release()
     return training.select(text_col).mapInArrow(run, _PACKED)
 
 
@@ -178,6 +180,8 @@ def merged(gathered: DataFrame) -> DataFrame:
              pa.array([_narrow(counts)], pa.binary()), pa.array([len(keys)], pa.int64()),
              pa.array([int(level_of(counts).sum())], pa.int64()), pa.array([int(counts.sum())], pa.int64())],
             names=["kind", "part", "keys", "counts", "distinct", "entries", "total"])
+        del keys, counts
+        textops.release()
     return gathered.groupBy("kind", "part").applyInArrow(run, _PACKED + ", distinct long, entries long, total long")
 
 
@@ -208,6 +212,8 @@ def build_parts(counted: DataFrame, bits: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()),
                                           pa.array([np.packbits(on, bitorder="little").tobytes()], pa.binary())],
                                          names=["part", "bits"])
+        del on
+        textops.release()
     return counted.select("part", "keys", "counts").groupBy("part").applyInArrow(run, "part int, bits binary")
 
 
@@ -289,7 +295,11 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     exact = np.concatenate(counts)
     if exact.max(initial=0) < 2**32:
         exact = exact.astype(np.uint32)
+    # Executors drop the copies of filters broadcast before; a query that still wants one fetches it again.
+    while _SENT:
+        _SENT.pop().unpersist()
     holder = spark.sparkContext.broadcast((filters, parts, bits, np.concatenate(keys), exact))
+    _SENT.append(holder)
     del filters, keys, counts, exact
     schema = StructType([src.schema["doc_id"], *[StructField(n, t) for n, t in _OUT if n != "held_out"]])
 

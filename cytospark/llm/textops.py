@@ -7,6 +7,7 @@ instead of one Python call a word.  Two different words of a corpus with V words
 probability about V² / 2⁶²."""
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -34,6 +35,13 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def release() -> None:
+    """Give freed memory back to the system, where the C library can: a worker process lives on between tasks."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     h = h ^ (h >> np.uint64(30))
