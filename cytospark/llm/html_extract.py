@@ -197,9 +197,11 @@ def training_pages(articles: list[list[str]], layouts: int = LAYOUTS, seed: int
 
 def learn(pages: DataFrame, html_col: str = "html", train_pages: int = TRAIN_PAGES) -> TreeModel:
     """Train on the bounded sample of pages that mark an article."""
-    key = F.xxhash64(html_col)
-    rows = pages.where(F.lower(html_col).rlike(r"<(article|main)\b") & (F.length(html_col) <= TRAIN_CHARS)) \
-        .select(key.alias("k"), F.col(html_col).alias("html")).orderBy("k", "html").limit(train_pages).collect()
+    marked = pages.where(F.lower(html_col).rlike(r"<(article|main)\b") & (F.length(html_col) <= TRAIN_CHARS)) \
+        .select(F.xxhash64(html_col).alias("k"), F.col(html_col).alias("html"))
+    # First the keys alone, so that tasks send no pages that are not used; copies of a page are one.
+    last = marked.select("k").distinct().orderBy("k").limit(train_pages).agg(F.max("k").alias("k")).first()["k"]
+    rows = marked.where(F.col("k") <= F.lit(last)).groupBy("k").agg(F.min("html").alias("html")).orderBy("k").collect() if last is not None else []
     articles = []
     for r in rows:
         nodes = parse(r["html"])
