@@ -51,54 +51,38 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
         hi = F.when(F.lit(hi_ps[i]) >= 1.0, F.col("_mx")).otherwise(F.col("_br")[k + i])
         bounds += [lo.alias(f"_lo{i}"), hi.alias(f"_hi{i}")]
     stats = checked_side(stats.select(*keys, "_n", *bounds))
-    # Pass 2: the bracket table has one row per group; broadcast when its measured size allows.
-    j = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull()).join(stats, keys)
-    aggs = [F.first("_n").alias("_n")]
-    for i in range(k):
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        aggs += [F.sum(F.when(F.col("_v") < lo, 1).otherwise(0)).alias(f"_b{i}"),
-                 F.max(F.when(F.col("_v") < lo, F.col("_v"))).alias(f"_mb{i}"),
-                 F.min(F.when(F.col("_v") > hi, F.col("_v"))).alias(f"_ma{i}")]
-    g = j.groupBy(*keys).agg(*aggs)
-    # The distinct values inside each bracket with their counts, ties as one row, and a running count.
-    inside = [F.when((F.col("_v") >= F.col(f"_lo{i}")) & (F.col("_v") <= F.col(f"_hi{i}")), F.lit(i)) for i in range(k)]
-    vc = j.select(*keys, "_v", F.explode(F.filter(F.array(*inside), lambda x: x.isNotNull())).alias("_i")) \
-        .groupBy(*keys, "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # Rank floor(p(n-1)) and the next one; the sketch's rank rule (value at rank ceil(p·n)) can put the first one
-    # below the bracket, or the second above.
-    same = [F.col(key).eqNullSafe(F.col(f"_k_{key}")) for key in keys]
-    known = checked_side(g.select(*[F.col(key).alias(f"_k_{key}") for key in keys], *[c for c in g.columns if c not in keys]))
-    ranked = vc.withColumn("_cum", F.sum("_c").over(w))
-    ranked = ranked.join(known, _all(same)) if keys else ranked.crossJoin(F.broadcast(known))
+    # Pass 2, one aggregate: per probability a row for all values below its bracket, one for all above, and one
+    # for each distinct value inside.  A running count in that order gives every row its range of ranks.
+    # (The bracket table has one row per group; broadcast when its measured size allows.)
+    j = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull()).join(stats, keys) if keys else \
+        df.select(v.alias("_v")).where(F.col("_v").isNotNull()).crossJoin(stats)
+    side = [F.struct(F.lit(i).alias("i"), F.when(F.col("_v") < F.col(f"_lo{i}"), -1).when(F.col("_v") > F.col(f"_hi{i}"), 1)
+                     .otherwise(0).alias("t")) for i in range(k)]
+    counted = j.select(*keys, "_n", "_v", F.explode(F.array(*side)).alias("_s")) \
+        .groupBy(*keys, F.col("_s.i").alias("_i"), F.col("_s.t").alias("_t"),
+                 F.when(F.col("_s.t") == 0, F.col("_v")).alias("_x")) \
+        .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx"), F.first("_n").alias("_n"))
+    w = Window.partitionBy(*keys, "_i").orderBy("_t", "_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.withColumn("_end", F.sum("_c").over(w)).withColumn("_start", F.col("_end") - F.col("_c"))
+    p_of = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_i") + 1)
+    ranked = ranked.withColumn("_h", p_of * (F.col("_n") - 1)).withColumn("_f", F.floor("_h"))
+
+    def at(rank: Column) -> Column:
+        """The value at a rank (from 0), if it is this row's: of values outside only the one next to the bracket."""
+        return F.when((F.col("_t") == 0) & (F.col("_start") <= rank) & (rank < F.col("_end")), F.col("_x")) \
+            .when((F.col("_t") < 0) & (rank == F.col("_end") - 1), F.col("_mx")) \
+            .when((F.col("_t") > 0) & (rank == F.col("_start")), F.col("_mn"))
     picks = []
-    for i, p in enumerate(probs):
-        fl = F.floor(F.lit(p) * (F.col("_n") - 1))
-        upto, mine = F.col(f"_b{i}") + F.col("_cum"), F.col("_i") == i
-        for name, rank in ((f"_x{i}", fl), (f"_y{i}", fl + 1)):
-            picks.append(F.max(F.when(mine & (upto - F.col("_c") <= rank) & (rank < upto), F.col("_v"))).alias(name))
-    picked = ranked.groupBy(*keys).agg(*picks, *[F.first(c).alias(c) for c in known.columns if not c.startswith("_k_")])
-    outs = []
-    for i, p in enumerate(probs):
-        h = F.lit(p) * (F.col("_n") - 1)
-        frac = h - F.floor(h)
-        v0 = F.coalesce(F.col(f"_x{i}"), F.col(f"_mb{i}"))
-        v1 = F.coalesce(F.col(f"_y{i}"), F.col(f"_ma{i}"))
-        val = F.when(frac == 0, v0).otherwise(v0 + frac * (v1 - v0))
-        outs.append(F.when(F.col("_n") > 0, val).alias(names[i]))
+    for i in range(k):
+        mine = F.col("_i") == i
+        picks += [F.max(F.when(mine, at(F.col("_f")))).alias(f"_x{i}"), F.max(F.when(mine, at(F.col("_f") + 1))).alias(f"_y{i}"),
+                  F.max(F.when(mine, F.col("_h") - F.col("_f"))).alias(f"_r{i}")]
+    picked = ranked.groupBy(*keys).agg(*picks)
+    outs = [F.when(F.col(f"_r{i}") == 0, F.col(f"_x{i}")).otherwise(
+        F.col(f"_x{i}") + F.col(f"_r{i}") * (F.col(f"_y{i}") - F.col(f"_x{i}"))).alias(names[i]) for i in range(k)]
     res = picked.select(*keys, *outs)
     # groups whose values are all NULL keep a row with NULL quantiles
-    if not keys:
-        return res
-    right = res.select(*[F.col(key).alias(f"_k_{key}") for key in keys], *names)
-    return stats.select(*keys).join(right, _all(same), "left").select(*keys, *names)
-
-
-def _all(conditions: Sequence[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out & c
-    return out
+    return stats.select(*keys).join(res, keys, "left") if keys else res
 
 
 def long_form(df: DataFrame, keys: Sequence[str], channels: Sequence[str], name: str = "channel",
