@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
@@ -267,10 +267,19 @@ _OUT = [("held_out", BooleanType()), ("n_tokens", LongType()), ("n_known", LongT
         ("base_score", DoubleType()), ("score", DoubleType())]
 
 
+def _small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """Hand texts to the workers in batches of at most ``most`` bytes, on both sides of the pipe (the session's
+    limit is lowered, never raised)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key, "64m"))) > most:
+        spark.conf.set(key, str(most))
+
+
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bytes: int = MAX_BYTES) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every document; learns
     from the documents that are not held out."""
     spark = docs.sparkSession
+    _small_batches(spark)
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     training = src.where(~held_out(F.col("doc_id")))
     size = training.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
@@ -301,6 +310,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     holder = spark.sparkContext.broadcast((filters, parts, bits, np.concatenate(keys), exact))
     _SENT.append(holder)
     del filters, keys, counts, exact
+    textops.release()
     schema = StructType([src.schema["doc_id"], *[StructField(n, t) for n, t in _OUT if n != "held_out"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
