@@ -38,7 +38,7 @@ from cytospark.llm import textops
 
 N_BEST = 4
 BYTE_PENALTY = 10.0
-CACHE_WORDS = 200_000
+CACHE_WORDS = 500_000
 BLANK = "▁"
 
 
