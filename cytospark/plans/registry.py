@@ -1032,13 +1032,11 @@ def q_abundance_sparse(spark, sf):
 
 
 def _abundance_fit(spark, sf):
+    """The fit of every sample's counts on its supplier's region (all five levels), and the coefficients' names."""
     from cytospark.operators import models
     counts = ab.abundance_counts(fx.line_samples_many(spark, sf))
-    meta = fx.supplier_meta(spark, sf)
-    groups = [r[0] for r in meta.select("group").distinct().orderBy("group").limit(2).collect()]
-    pair = meta.where(F.col("group").isin(groups))
-    design, names = ab.design_matrix(pair, "~ group", key="sample_id")
-    return models.differential_abundance(counts.join(F.broadcast(pair.select("sample_id")), "sample_id", "left_semi"), design, names), names[1]
+    design, names = ab.design_matrix(fx.supplier_regions(spark, sf), "~ group", key="sample_id")
+    return models.differential_abundance(counts, design, names), names
 
 
 @register("abundance_glm")
@@ -1050,8 +1048,8 @@ def q_abundance_glm(spark, sf):
 @register("test_contrasts")
 def q_test_contrasts(spark, sf):
     from cytospark.operators import models
-    fits, name = _abundance_fit(spark, sf)
-    return models.test_contrasts(fits, {name: {name: 1.0}})
+    fits, names = _abundance_fit(spark, sf)
+    return models.test_contrasts(fits, {n: {n: 1.0} for n in names[1:]})
 
 
 @register("overlay", with_views("", "line_events", "line_meta").rstrip() + """,

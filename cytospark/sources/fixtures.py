@@ -92,6 +92,14 @@ def supplier_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_suppkey").cast("int").alias("sample_id"), F.col("s_name").alias("id"), F.col("n_name").alias("group"))
 
 
+def supplier_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One metadata row per supplier sample: ``sample_id, group`` (group = region name; nations leave single samples
+    a group, and no degrees of freedom, on the smallest tables)."""
+    s, n, r = (table(spark, sf_dir, t) for t in ("supplier", "nation", "region"))
+    return s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).select(
+        F.col("s_suppkey").cast("int").alias("sample_id"), F.col("r_name").alias("group"))
+
+
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``sample_id, event_id, time, value`` from ``events``; time = epoch seconds (unique)."""
     ev = table(spark, sf_dir, "events")
