@@ -10,7 +10,8 @@ counts are those read from the filter, c(v w) at most c(v) and c(w), and v is a
 first word.  ``base_score`` uses exact unigram counts instead.
 
 The filter and the exact unigram counts are broadcast only if the counted entries need at most
-``max_bytes`` each; beyond that the same (quantised) counts are joined to the texts' n-grams by shuffle.
+``max_bytes`` each; beyond that the texts' distinct n-grams are sent to the parts of the same filter and
+probed there, so that the scores are the same on both sides of the limit.
 
 Defined results: a null or empty text is one end token; null ids are in the training part if their
 (absent) checksum is not 2, that is, always; repeated rows count and are scored each; with no
@@ -21,12 +22,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from cytospark.llm import textops
-from cytospark.session import cut_lineage
+from cytospark.session import cut_lineage, drop_cut
 
 # Counts are quantised to levels 1 + floor(log(count) / log(QUANT)).
 QUANT = 1.5
@@ -36,6 +38,8 @@ PROBES = 6
 MAX_BYTES = 192 << 20
 PART_BYTES = 8 << 20
 MIN_PARTS = 64
+# Texts that ask the filter's parts together where the filter is not broadcast.
+BLOCK_BYTES = 4 << 20
 # Distinct bigrams that a task holds before it hands its counts on.
 FLUSH_KEYS = 3 << 19
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -194,21 +198,25 @@ def _probe_bits(keys: np.ndarray, level: int | np.ndarray, bits: int) -> Iterato
         h = h + step
 
 
+def _put(on: np.ndarray, keys: np.ndarray, packed: bytes) -> None:
+    """Set the bits of n-grams with their packed counts."""
+    levels = level_of(_wide(packed, len(keys)))
+    level = 1
+    while len(keys):
+        for at in _probe_bits(keys, level, len(on)):
+            on[at] = 1
+        level += 1
+        left = levels >= level
+        keys, levels = keys[left], levels[left]
+
+
 def build_parts(counted: DataFrame, bits: int) -> DataFrame:
     """``(part, bits)``: the Bloom filter's part of ``bits`` bits over both kinds."""
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         on = np.zeros(bits, dtype=np.uint8)
         for batch in batches:
             for k, c in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
-                keys = np.frombuffer(k, np.uint64)
-                levels = level_of(_wide(c, len(keys)))
-                level = 1
-                while len(keys):
-                    for at in _probe_bits(keys, level, bits):
-                        on[at] = 1
-                    level += 1
-                    left = levels >= level
-                    keys, levels = keys[left], levels[left]
+                _put(on, np.frombuffer(k, np.uint64), c)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()),
                                           pa.array([np.packbits(on, bitorder="little").tobytes()], pa.binary())],
                                          names=["part", "bits"])
@@ -293,7 +301,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     fullest = counted.groupBy("part").agg(F.sum("entries").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
     bits = max(64, (fullest * BITS_PER_ENTRY + 7) // 8 * 8)
     if parts * bits // 8 > max_bytes or distinct * 16 > max_bytes:
-        return _scores_by_join(src, counted, total, distinct)
+        return _scores_by_parts(src, counted, parts, bits, total, distinct)
     filters = np.zeros((parts, bits // 8), dtype=np.uint8)
     for r in cut_lineage(build_parts(counted, bits)).toLocalIterator():
         filters[r["part"]] = np.frombuffer(r["bits"], np.uint8)
@@ -319,8 +327,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
         bloom = BloomCounts(filters.reshape(-1), parts, bits)
 
         def exact_of(words: np.ndarray) -> np.ndarray:
-            at = np.minimum(np.searchsorted(known, words), max(len(known) - 1, 0))
-            return np.where(known[at] == words, exact[at].astype(np.int64), 0) if len(known) else np.zeros(len(words), np.int64)
+            return _exact_counts(known, exact, words)
         for batch in textops.small(batches):
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             found = [[np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)]]
@@ -335,59 +342,145 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), *[n for n, _ in _OUT if n != "held_out"])
 
 
-def _scores_by_join(src: DataFrame, counted: DataFrame, total: int, distinct: int) -> DataFrame:
-    """The same scores where the counts are too many to broadcast: the texts' distinct n-grams are joined
-    with the counts.  A frequent n-gram's rows are dealt over salts."""
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _in_blocks(src: DataFrame) -> DataFrame:
+    """``src`` with ``block``, the number of a run of neighbouring texts of about ``BLOCK_BYTES`` (or one text), and
+    ``at``, the text's place in it."""
+    most = BLOCK_BYTES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, at, held = TaskContext.get().partitionId() << 33, 0, 0
         for batch in batches:
-            for kind, k, c in zip(batch.column("kind").to_pylist(), batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
-                keys, counts = np.frombuffer(k, np.int64), _wide(c, len(k) // 8)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(counts)],
-                                                 names=["kind", "key", "c"])
+            blocks, places = np.empty(batch.num_rows, dtype=np.int64), np.empty(batch.num_rows, dtype=np.int64)
+            for i, t in enumerate(batch.column("text")):
+                # A row costs something without text, too.
+                n = (t.as_buffer().size if t.is_valid else 0) + 64
+                if held and held + n > most:
+                    block, at, held = block + 1, 0, 0
+                blocks[i], places[i] = block, at
+                at, held = at + 1, held + n
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(blocks), pa.array(places)], names=["doc_id", "text", "block", "at"])
+    return src.mapInArrow(run, StructType([*src.schema.fields, StructField("block", LongType()), StructField("at", LongType())]))
+
+
+def _held(counted: DataFrame, bits: int) -> DataFrame:
+    """``part, bits, keys, counts``: the filter bits of each counted row, and the tokens' exact counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for kind, part, k, c in zip(*(batch.column(n).to_pylist() for n in ("kind", "part", "keys", "counts"))):
+                on = np.zeros(bits, dtype=np.uint8)
+                _put(on, np.frombuffer(k, np.uint64), c)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part], pa.int32()), pa.array([np.packbits(on, bitorder="little").tobytes()], pa.binary()),
+                     *[pa.array([x if kind == 0 else None], pa.binary()) for x in (k, c)]], names=["part", "bits", "keys", "counts"])
+        textops.release()
+    return counted.select("kind", "part", "keys", "counts").mapInArrow(run, "part int, bits binary, keys binary, counts binary")
+
+
+def _answers(asked: DataFrame, held: DataFrame, bits: int) -> DataFrame:
+    """Levels (one byte each) of the asked n-grams by the filter's parts, and packed exact counts of the tokens among them."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        filters, known, exact = np.zeros(bits // 8, np.uint8), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for r in right.to_pylist():
+            filters |= np.frombuffer(r["bits"], np.uint8)
+            if r["keys"] is not None:
+                known = np.frombuffer(r["keys"], np.uint64)
+                exact = _wide(r["counts"], len(known))
+        packed = left.column("keys").to_pylist()
+        # An n-gram that many blocks ask for is probed once.
+        uniq, inverse = np.unique(np.frombuffer(b"".join(packed), np.uint64), return_inverse=True)
+        levels = BloomCounts(filters, 1, bits).levels(uniq).astype(np.uint8)[inverse]
+        counts = _exact_counts(known, exact, uniq)[inverse]
+        cuts = np.cumsum([0, *[len(k) // 8 for k in packed]])
+        out = left.select(["block", "first", "kind", "part"])
+        out = out.append_column("levels", pa.array([levels[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()))
+        out = out.append_column("exact", pa.array([_narrow(counts[a:b]) if kind == 0 else b"" for a, b, kind in
+                                                   zip(cuts, cuts[1:], left.column("kind").to_pylist())], pa.binary()))
+        textops.release()
+        return out
+    return asked.groupBy("part", "salt").cogroup(held.groupBy("part", "salt")).applyInArrow(
+        run, "block long, first long, kind int, part int, levels binary, exact binary")
+
+
+def _exact_counts(known: np.ndarray, exact: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Counts of ``words`` by the sorted ``known`` ones."""
+    if not len(known):
+        return np.zeros(len(words), np.int64)
+    at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+    return np.where(known[at] == words, exact[at].astype(np.int64), 0)
+
 
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scores_by_parts(src: DataFrame, counted: DataFrame, parts: int, bits: int, total: int, distinct: int) -> DataFrame:
+    """The same scores where the filter or the counts are too many to broadcast: every block of texts asks each
+    part of the filter for its distinct n-grams, so that a frequent n-gram is asked for once a block; the blocks are
+    dealt over salts where the texts are many for the parts.  Parts are ranges of the hash, so that the answers in the
+    order of the parts are those to the sorted n-grams, which need not come back."""
+    held = cut_lineage(_held(counted, bits))
+    drop_cut(counted)
+    rows = cut_lineage(_in_blocks(src))
+    size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
+    salts = max(1, -(-size // (2 * PART_BYTES * parts)))
+    held = held.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+    def distinct_grams(of: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        return (np.unique(np.concatenate([np.unique(t) for _, t in of])),
+                np.unique(np.concatenate([np.unique(_pair(_contexts(n, t), t)) for n, t in of])))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, block, first, after = [], 0, 0, -1
+
+        def flush():
+            for kind, keys in enumerate(distinct_grams(of) if of else ()):
+                cuts = np.searchsorted(_part(keys, parts), np.arange(parts + 1))
+                found = np.flatnonzero(np.diff(cuts))
+                for i in range(0, len(found), 4096):
+                    some = found[i:i + 4096]
+                    same = (np.full(len(some), x, t) for x, t in ((block % salts, np.int32), (block, np.int64), (first, np.int64), (kind, np.int32)))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(some.astype(np.int32)), *map(pa.array, same), pa.array([keys[cuts[p]:cuts[p + 1]].tobytes() for p in some], pa.binary())],
+                        names=["part", "salt", "block", "first", "kind", "keys"])
+            of.clear()
         for batch in textops.small(batches):
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            rows = batch.column("row").to_numpy()
-            for a, b in textops.groups([len(t) for t in texts]):
-                counts, tokens = _tokens(texts[a:b])
-                before = _contexts(counts, tokens)
-                doc = np.repeat(rows[a:b], counts)
-                pair = _pair(before, tokens)
-                order = np.lexsort((pair, doc))
-                doc, pair, tokens, before = doc[order], pair[order], tokens[order], before[order]
-                first = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1]))))
-                times = np.diff(np.append(first, len(doc)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[first]), *[pa.array(x[first].view(np.int64)) for x in (pair, tokens, before)], pa.array(times.astype(np.int64))],
-                    names=["row", "pair", "word", "context", "times"])
-    table = counted.select("kind", "keys", "counts").mapInArrow(unpack, "kind int, key long, c long")
-    salts = 16
-    table = cut_lineage(table).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    rows = cut_lineage(src.withColumn("row", F.monotonically_increasing_id()))
-    found = rows.select("row", "text").mapInArrow(grams, "row long, pair long, word long, context long, times long")
-    found = found.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int"))
-    for name, kind in (("pair", 1), ("word", 0), ("context", 0)):
-        side = table.where(F.col("kind") == kind).select(F.col("key").alias(name), "salt", F.col("c").alias(f"c_{name}"))
-        found = found.join(side, [name, "salt"], "left").withColumn(f"c_{name}", F.coalesce(f"c_{name}", F.lit(0)))
-    ends = table.where((F.col("kind") == 0) & (F.col("key") == int(np.array([END]).view(np.int64)[0])) & (F.col("salt") == 0)) \
-        .select("c").collect()
-    n_ends = ends[0]["c"] if ends else 0
-
-    def seen(c: Column) -> Column:
-        level = F.floor(F.log(c.cast("double")) / F.log(F.lit(QUANT)) + 1e-9) + 1
-        low = F.ceil(F.pow(F.lit(QUANT), level - 1.0) - 1e-9)
-        high = F.greatest(F.ceil(F.pow(F.lit(QUANT), level.cast("double")) - 1e-9) - 1, low)
-        return F.when(c > 0, (low + high) / 2.0).otherwise(F.lit(0.0))
-    start = F.col("context") == int(np.array([START]).view(np.int64)[0])
-    c_context = seen(F.when(start, F.lit(n_ends)).otherwise(F.col("c_context")))
-    c12 = F.least(seen(F.col("c_pair")), c_context, seen(F.col("c_word")))
-    unigram = (seen(F.col("c_word")) + 1.0) / F.lit(total + distinct + 1.0)
-    base = F.log10((F.col("c_word") + 1.0) / F.lit(total + distinct + 1.0))
-    sums = found.groupBy("row").agg(
-        F.sum("times").alias("n_tokens"), F.sum(F.when(F.col("c_word") > 0, F.col("times")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("times") * base).alias("base_score"),
-        F.sum(F.col("times") * F.log10((c12 + MU * unigram) / (c_context + MU))).alias("score"))
-    return rows.select("row", "doc_id").join(sums, "row").select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
-        F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+            blocks, at = batch.column("block").to_numpy(), batch.column("at").to_numpy()
+            starts = [0, *(np.flatnonzero((np.diff(blocks) != 0) | (np.diff(at) != 1)) + 1).tolist(), len(texts)]
+            for a, b in zip(starts, starts[1:]):
+                # A block whose rows are read by several tasks asks in several pieces of neighbouring texts.
+                if block != blocks[a] or after != at[a]:
+                    yield from flush()
+                    block, first = int(blocks[a]), int(at[a])
+                after = int(at[b - 1]) + 1
+                of.extend(_tokens(texts[a + i:a + j]) for i, j in textops.groups([len(t) for t in texts[a:b]]))
+        yield from flush()
+        textops.release()
+
+    fields = [src.schema["doc_id"], *[StructField(n, t) for n, t in _OUT if n != "held_out"]]
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        left, right = left.sort_by("at"), right.sort_by([("first", "ascending"), ("kind", "ascending"), ("part", "ascending")])
+        texts = [t or b"" for t in left.column("text").cast(pa.binary()).to_pylist()]
+        answers: dict[int, tuple[list, list]] = {}
+        for first, kind, levels, exact in zip(*(right.column(n).to_pylist() for n in ("first", "kind", "levels", "exact"))):
+            lv, counts = answers.setdefault(first, ([], []))
+            lv.append(np.frombuffer(levels, np.uint8))
+            if kind == 0:
+                counts.append(_wide(exact, len(levels)))
+        found = []
+        for (lv, counts), a, b in zip(answers.values(), answers, [*list(answers)[1:], len(texts)]):
+            of = [_tokens(texts[a + i:a + j]) for i, j in textops.groups([len(t) for t in texts[a:b]])]
+            words, pairs = distinct_grams(of)
+            levels, exact = np.concatenate(lv).astype(np.int64), np.concatenate(counts)
+            if len(levels) != len(words) + len(pairs) or len(exact) != len(words):
+                raise RuntimeError("the filter's answers do not fit a block's n-grams")
+            asked, order = np.unique(np.concatenate([words, pairs]), return_index=True)
+            levels = levels[order]
+            found += [[n, *_score_part(n, t, lambda k: levels[np.searchsorted(asked, k)],
+                                       lambda k: _exact_counts(words, exact, k), total, distinct)] for n, t in of]
+        n, n_known, base, score = (np.concatenate(x) for x in zip(*found))
+        out = pa.Table.from_arrays([left.column("doc_id"), pa.array(n, pa.int64()), pa.array(n_known, pa.int64()),
+                                    pa.array(np.full(len(texts), total, np.int64)), pa.array(base), pa.array(score)], names=[f.name for f in fields])
+        textops.release()
+        return out
+    asked = rows.mapInArrow(ask, "part int, salt int, block long, first long, kind int, keys binary")
+    answers = _answers(asked, held, bits)
+    scored = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, StructType(fields))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), *[n for n, _ in _OUT if n != "held_out"])

@@ -100,3 +100,26 @@ def test_empty_table_and_no_training_rows(docs_of):
     i = next(k for k in range(100) if out_of_training(k))
     r = L.lm_scores(docs_of([(i, "a b")])).first()
     assert (r["train_tokens"], r["n_known"], r["n_tokens"], r["base_score"], r["score"]) == (0, 0, 3, 0.0, 0.0)
+
+
+def test_filter_in_parts_gives_the_scores_of_the_broadcast_filter(docs_of, monkeypatch):
+    # Few bits an entry: many false hits, which both ways must have.  Small blocks and parts: many of them, and salts.
+    for name, value in (("BITS_PER_ENTRY", 3), ("BLOCK_BYTES", 2000), ("PART_BYTES", 300)):
+        monkeypatch.setattr(L, name, value)
+    rng = random.Random(4)
+    held = next(k for k in range(100) if out_of_training(k))
+    text = lambda n: " ".join(f"w{int(rng.paretovariate(0.4)) % 900}" for _ in range(n))
+    rows = [(i, text(rng.randint(0, 30))) for i in range(100)] + [(held, text(40)) for _ in range(900)] + [(None, None), (held, "")]
+    small, large = (sorted(map(tuple, L.lm_scores(docs_of(rows), max_bytes=b).collect()), key=lambda r: (str(r[0]), *r[2:4], r[5], r[6]))
+                    for b in (L.MAX_BYTES, 1))
+    assert len(small) == len(large) == len(rows)
+    for a, b in zip(small, large):
+        assert a[:5] == b[:5]
+        assert b[5:] == pytest.approx(a[5:], abs=1e-9)
+
+
+def test_no_training_rows_with_the_filter_in_parts(docs_of):
+    assert L.lm_scores(docs_of([]), max_bytes=1).count() == 0
+    i = next(k for k in range(100) if out_of_training(k))
+    r = L.lm_scores(docs_of([(i, "a b")]), max_bytes=1).first()
+    assert (r["train_tokens"], r["n_known"], r["n_tokens"], r["base_score"], r["score"]) == (0, 0, 3, 0.0, 0.0)
