@@ -3,10 +3,8 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 
 @pytest.fixture(scope="session")
@@ -14,31 +12,3 @@ def spark():
     from cytospark.session import get_spark
     s = get_spark(master="local[8]", shuffle_partitions=8)
     yield s
-
-
-def blobs(n_per=200, centers=((0, 0, 0), (8, 8, 0), (0, 8, 8)), sd=0.6, seed=1):
-    import numpy as np
-    rng = np.random.default_rng(seed)
-    rows = []
-    eid = 0
-    for ci, c in enumerate(centers):
-        for _ in range(n_per):
-            v = rng.normal(c, sd)
-            rows.append((eid % 3, eid, *map(float, v), str(ci)))
-            eid += 1
-    return rows
-
-
-def adjusted_rand(a, b):
-    """Adjusted Rand index of two labelings (lists)."""
-    from collections import Counter
-    from math import comb
-    n = len(a)
-    pairs = Counter(zip(a, b))
-    sa, sb = Counter(a), Counter(b)
-    s_ij = sum(comb(v, 2) for v in pairs.values())
-    s_a = sum(comb(v, 2) for v in sa.values())
-    s_b = sum(comb(v, 2) for v in sb.values())
-    exp = s_a * s_b / comb(n, 2)
-    mx = (s_a + s_b) / 2
-    return 1.0 if mx == exp else (s_ij - exp) / (mx - exp)

@@ -46,7 +46,7 @@ def test_rev_arcsinh_round_trip(spark):
 
 
 def test_label_shares_sum_to_one(spark):
-    from conftest import SF001
+    from helpers import SF001
     from cytospark.operators import labels, phenotype
     from cytospark.sources import fixtures as fx
     lab = labels.label_events(fx.line_events(spark, SF001), fx.LINE_CUTOFFS)

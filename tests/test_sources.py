@@ -3,7 +3,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from helpers import SF001
 
 
 def test_read_events_numbers_files_and_prunes(spark):
