@@ -5,7 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cytospark.llm import ann, chat_format, html_extract, language_id, nbest, ngram_lm, packing, quality_rules, simhash, weak_quality
+from cytospark.llm import ann, chat_format, html_extract, language_id, nbest, ngram_lm, packing, quality_rules, simhash, spelling, \
+    weak_quality
 from cytospark.llm.common import table
 
 
@@ -56,6 +57,10 @@ def op10_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_quality.weak_quality(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_ngram_bloom": op2_ngram_bloom,
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_html_tree": op9_html_tree,
     "op10_weak_quality": op10_weak_quality,
+    "op11_spelling": op11_spelling,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
