@@ -42,3 +42,19 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, salt_by: Column, sa
     left = left.withColumn(s, F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
     right = right.withColumn(s, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [key, s], "left").drop(s)
+
+
+# A key with more than this share of all rows is joined by broadcast; there are at most as many such keys as its inverse.
+HOT_SHARE = 1 / 1000
+
+
+def join_classes(left: DataFrame, right: DataFrame, key: str, rows: str) -> DataFrame:
+    """Inner join of many rows with one row a key, where one key may hold a third of ``left``.  ``right[rows]`` counts
+    the key's rows in ``left``: those few keys that hold more than ``HOT_SHARE`` of all (at least 10 000 rows) are
+    broadcast, at most 1 000 rows of ``right``; the others are joined by shuffle.  Both sides are read twice and should
+    be tables."""
+    total = right.agg(F.sum(rows).alias("n")).first()["n"] or 0
+    limit = max(10_000, int(total * HOT_SHARE))
+    hot = F.broadcast(right.where(F.col(rows) > limit).drop(rows))
+    plain = left.join(hot.select(key), key, "left_anti").join(right.where(F.col(rows) <= limit).drop(rows), key)
+    return plain.unionByName(left.join(hot, key))
