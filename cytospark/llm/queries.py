@@ -5,8 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cytospark.llm import ann, chat_format, html_extract, language_id, minhash, nbest, ngram_lm, packing, quality_rules, \
-    simhash, spelling, weak_quality
+from cytospark.llm import ann, chat_format, conversation_repair, html_extract, language_id, minhash, nbest, ngram_lm, packing, \
+    quality_rules, simhash, spelling, weak_quality
 from cytospark.llm.common import table
 
 
@@ -61,6 +61,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.minhash_components(table(spark, sf_dir, "documents"))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_tree": op9_html_tree,
     "op10_weak_quality": op10_weak_quality,
     "op11_spelling": op11_spelling,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_minhash": op13_minhash,
 }
 
