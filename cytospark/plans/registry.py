@@ -845,6 +845,15 @@ def q_density_peaks(spark, sf):
     return dns.density_peaks(fx.vec_events(spark, sf), VC, k=15, cell_size=100)
 
 
+# ------------------------------------------------------------------ L5 (rows-only: checked on planted data and against plain steps)
+from cytospark.operators import embedding as emb  # noqa: E402
+
+
+@register("embed_umap")
+def q_embed_umap(spark, sf):
+    return emb.embed_umap(fx.vec_events(spark, sf), VC, cell_size=100)
+
+
 # ------------------------------------------------------------------ G4–G7 (SOM and consensus: rows-only), L
 from cytospark.operators import kde as kd, som as sm  # noqa: E402
 
