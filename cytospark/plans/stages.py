@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cytospark.session import checkpoint_dir
+from cytospark.session import checkpoint_dir, drop_path, path_exists, write_marker
 
 
 class StageStore:
@@ -24,15 +24,14 @@ class StageStore:
         return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        try:
-            self.spark.read.parquet(self.path(name)).limit(0).collect()
-            return True
-        except Exception:  # noqa: BLE001
-            return False
+        """Whether the stage was finished: its marker is written after the data."""
+        return path_exists(self.spark, f"{self.path(name)}.done")
 
     def run(self, name: str, fn: Callable[[], DataFrame]) -> DataFrame:
         if name not in self.stale and self.exists(name):
             return self.spark.read.parquet(self.path(name))
+        drop_path(self.spark, f"{self.path(name)}.done")
         fn().write.mode("overwrite").parquet(self.path(name))
+        write_marker(self.spark, f"{self.path(name)}.done", name)
         self.stale.discard(name)
         return self.spark.read.parquet(self.path(name))

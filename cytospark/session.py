@@ -70,9 +70,39 @@ def _tables_root(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/cytospark-tables/{spark.sparkContext.applicationId}"
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    fs, place = _file_system(spark, path)
+    fs.delete(place, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _file_system(spark, path)
+    return fs.exists(place)
+
+
+def write_marker(spark: SparkSession, path: str, text: str) -> None:
+    """A small file written through the session's file system, put in place by a rename."""
+    fs, place = _file_system(spark, path)
+    _, draft = _file_system(spark, f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(draft)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(place, False)
+    fs.rename(draft, place)
+
+
+def read_marker(spark: SparkSession, path: str) -> str:
+    fs, place = _file_system(spark, path)
+    stream = fs.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 _SWEPT: set[str] = set()
@@ -102,9 +132,9 @@ def drop_cut(df: DataFrame) -> None:
     """Delete the table behind a frame that ``cut_lineage`` returned; nothing may read it later."""
     path = getattr(df, "_cytospark_path", None)
     if path:
-        _delete(df.sparkSession, path)
+        drop_path(df.sparkSession, path)
 
 
 def _sweep(spark: SparkSession, root: str) -> None:
     if spark.sparkContext._jsc is not None:
-        _delete(spark, root)
+        drop_path(spark, root)
