@@ -87,20 +87,20 @@ def with_faults(rows: DataFrame) -> DataFrame:
 
 
 def _solved(chunks: DataFrame) -> DataFrame:
-    """Every chunk's ways: ``ways`` holds (entry, exit, cost, audit).  ``chunks``: key, ``chunk, last, codes, initials``."""
+    """Every chunk's ways: ``ways`` holds (entry, exit, cost, audit).  ``chunks``: key, ``chunk, codes, initials``."""
     kind = chunks.schema["conv"].dataType.simpleString()
     way = "struct<entry:int,exit:int,cost:long,audit:string>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ways = []
-            for chunk, last, codes in zip(*[batch.column(k).to_pylist() for k in (2, 3, 4)]):
+            for chunk, codes in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 entries = search.STATES if chunk else (search.START,)
-                # Behind the last chunk any accepted state will do; which one does not matter.
-                exits = [(search.DONE, search.ACCEPTED)] if last else [(q, (q,)) for q in search.STATES]
+                # A chunk that is not full is its conversation's last: any accepted state will do behind it.
+                exits = [(search.DONE, search.ACCEPTED)] if len(codes) < CHUNK_ROWS else [(q, (q,)) for q in search.STATES]
                 made = [(e, name, search.cheapest(codes, e, to)) for e in entries for name, to in exits]
                 ways.append([{"entry": e, "exit": x, "cost": w[0], "audit": w[1]} for e, x, w in made if w])
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in (0, 1, 2, 5)], pa.array(ways, arrow)],
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in (0, 1, 2, 4)], pa.array(ways, arrow)],
                                              names=["none", "conv", "chunk", "initials", "ways"])
     arrow = pa.list_(pa.struct([("entry", pa.int32()), ("exit", pa.int32()), ("cost", pa.int64()), ("audit", pa.string())]))
     return chunks.mapInArrow(run, f"none boolean, conv {kind}, chunk long, initials string, ways array<{way}>")
@@ -109,7 +109,7 @@ def _solved(chunks: DataFrame) -> DataFrame:
 def _chosen(parts: list[tuple[int, str, list[dict]]]) -> Iterator[tuple[int, int, str, int, int, str | None]]:
     """The best way through a conversation's chunks, given from the last to the first: per chunk (chunk, entry, audit,
     illegal neighbours); the first chunk's row also has the whole cost and audit."""
-    ahead: dict[int, tuple[int, str]] = {search.DONE: (0, "")}
+    ahead: dict[int, tuple[int, str]] = {q: (0, "") for q in search.ACCEPTED}
     picked: list[dict[int, dict]] = []
     for _, _, ways in parts:
         now: dict[int, tuple[int, str]] = {}
@@ -228,17 +228,18 @@ def repair_conversations(conversations: DataFrame) -> DataFrame:
     turns = hurt.select(*_KEY, "turn").distinct().groupBy(*_KEY).agg(
         (F.max("turn") - F.min("turn") + 1 - F.count("turn")).cast("long").alias("gaps"))
     rows = cut_lineage(with_faults(numbered(hurt)))
-    faults = rows.groupBy(*_KEY).agg(*[F.count_if(F.col("fault") == f).alias(f) for f in ("blank", "duplicate", "truncated")],
-                                     F.count(F.lit(1)).alias("n"))
+    faults = rows.groupBy(*_KEY).agg(*[F.count_if(F.col("fault") == f).alias(f) for f in ("blank", "duplicate", "truncated")])
     chunks = rows.groupBy(*_KEY, F.floor(F.col("pos") / CHUNK_ROWS).alias("chunk")).agg(
         F.array_sort(F.collect_list(F.struct("pos", "code", "initial"))).alias("r"))
-    chunks = chunks.join(faults.select(*_KEY, "n"), _KEY).select(
-        *_KEY, "chunk", ((F.col("chunk") + 1) * CHUNK_ROWS >= F.col("n")).alias("last"),
-        F.array_join("r.code", "").alias("codes"), F.array_join("r.initial", "").alias("initials"))
+    chunks = chunks.select(*_KEY, "chunk", F.array_join("r.code", "").alias("codes"), F.array_join("r.initial", "").alias("initials"))
     pieces = cut_lineage(_joined(_solved(chunks)))
-    found = pieces.groupBy(*_KEY).agg(F.sum("illegal").alias("illegal"), F.max("cost").alias("cost"), F.max("audit").alias("audit"))
-    out = every.join(turns, _KEY, "left").join(faults, _KEY, "left").join(found, _KEY, "left") \
-        .join(repaired_digests(rows, pieces), _KEY, "left")
-    zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
-    return out.select(F.when(~F.col("none"), F.col("conv")).alias("conv_id"), *zero, F.coalesce("audit", F.lit("")).alias("audit"),
-                      F.coalesce("sha", F.lit(_EMPTY)).alias("repaired_sha256"))
+    digests = cut_lineage(repaired_digests(rows, pieces))
+    # Every part has at most one row or few rows a conversation; together they make its result in one aggregate.
+    parts = [every, turns, faults, pieces.select(*_KEY, "illegal"), pieces.where("chunk = 0").select(*_KEY, "cost", "audit"), digests]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    out = out.groupBy(*_KEY).agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in numbers],
+                                 F.coalesce(F.max("audit"), F.lit("")).alias("audit"), F.coalesce(F.max("sha"), F.lit(_EMPTY)).alias("sha"))
+    return out.select(F.when(~F.col("none"), F.col("conv")).alias("conv_id"), *numbers, "audit", F.col("sha").alias("repaired_sha256"))
