@@ -1,13 +1,11 @@
 """The training-data pipeline over ``documents``: stages that each keep, drop or pack what the one before kept."""
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from cytospark.llm import language_id, packing, quality_rules, simhash
 from cytospark.llm.common import table
-from cytospark.session import checkpoint_dir
+from cytospark.session import scratch_folder
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +43,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order; each stage's result is written and read again."""
     docs = table(spark, sf_dir, "documents")
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/corpus-pipeline/{uuid.uuid4().hex}"
+    folder = scratch_folder(spark)
     for i, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{i}"
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -1071,3 +1071,68 @@ def q_overlay(spark, sf):
         r6(F.log(F.avg("price") / 30000) / F.log(F.lit(2.0))).alias("logFC"), r6(F.avg("disc")).alias("FDR"))
     o = tables.differential_overlay(ev, res, fx.line_samples(spark, sf).select("sample_id", "group"))
     return o.select("sample_id", "event_id", "cluster", "logFC", "FDR", "group")
+
+
+# ------------------------------------------------------------------ M1, A9
+from cytospark.plans import analysis as ana  # noqa: E402
+from cytospark.session import scratch_folder  # noqa: E402
+
+
+def _line_config(**more) -> dict:
+    base = {"channels": {"names": LC}, "transform": {"b": None}, "cutoffs": {"fixed": LINE_CUTOFFS},
+            "gates": {"strategy": [["price band", {"price": "between quantile(0.05), quantile(0.95)"}]]}, "stack": {"n": None},
+            "merge": {"definitions": LINE_DEFINITIONS, "label_threshold": THRESHOLD},
+            "densities": {"enabled": False}, "embedding": {"enabled": False}, "tables": {"enabled": False}}
+    return {**base, **more}
+
+
+_GATED_CTE = """line_gated AS (SELECT e.* FROM line_events e JOIN (SELECT sample_id, quantile_cont(price, 0.05) AS lo, quantile_cont(price, 0.95) AS hi
+  FROM line_events GROUP BY sample_id) q USING (sample_id) WHERE e.price BETWEEN q.lo AND q.hi)"""
+_GATED_LABELS_CTE = f"line_labels AS (SELECT *, {LABEL_COLS_SQL} FROM line_gated)"
+_NAMED_CTE = """named AS (SELECT e.sample_id, e.cluster, coalesce(CASE WHEN h.big THEN 'big' END, CASE WHEN h.small THEN 'small' END) AS big_small,
+  CASE WHEN h.dear THEN 'dear' END AS dear, CASE WHEN h.big_dear THEN 'big dear' END AS big_dear,
+  CASE WHEN h.dear_or_taxed THEN 'dear or taxed' END AS dear_or_taxed FROM line_labels e LEFT JOIN hits h USING (cluster)),
+sets AS (SELECT 'cluster' AS cluster_set, sample_id, cluster FROM named UNION ALL SELECT 'big|small', sample_id, big_small FROM named
+  UNION ALL SELECT 'dear', sample_id, dear FROM named UNION ALL SELECT 'big dear', sample_id, big_dear FROM named
+  UNION ALL SELECT 'dear or taxed', sample_id, dear_or_taxed FROM named)"""
+
+
+def _line_analysis(spark, sf, config):
+    """The configured analysis over the line events in a folder of its own, so that every call computes all stages."""
+    inputs = {"events": fx.line_events(spark, sf).drop("cluster2"), "metadata": fx.line_samples(spark, sf).select("sample_id", "id", "group")}
+    return ana.build(spark, config, inputs, scratch_folder(spark))
+
+
+@register("pipeline_counts", ",\n".join([with_views("", "line_events", "line_meta").rstrip(), _GATED_CTE, _GATED_LABELS_CTE, _SUMMARY_SQL, _HITS, _NAMED_CTE]) + """
+SELECT c.cluster_set, c.cluster, t.sample_id, coalesce(k.n, 0) AS n, t.total, round(coalesce(k.n, 0) * 100.0 / t.total, 6) AS percent
+FROM (SELECT DISTINCT cluster_set, cluster FROM sets WHERE cluster IS NOT NULL) c
+JOIN (SELECT cluster_set, sample_id, count(*) AS total FROM sets GROUP BY ALL HAVING count(cluster) > 0) t USING (cluster_set)
+LEFT JOIN (SELECT cluster_set, sample_id, cluster, count(*) AS n FROM sets GROUP BY ALL) k
+  ON k.cluster_set = c.cluster_set AND k.cluster = c.cluster AND k.sample_id = t.sample_id""")
+def q_pipeline_counts(spark, sf):
+    """Transform, fixed cut points, labels, gate, given clusters, their names by definition and the counts, from one configuration."""
+    g = _line_analysis(spark, sf, _line_config(clusters={"method": "column"}, models={"enabled": False}))
+    return g.result("counts").select("cluster_set", "cluster", "sample_id", "n", "total", r6(F.col("percent")).alias("percent"))
+
+
+@register("run_pipeline")
+def q_run_pipeline(spark, sf):
+    """From searched cut points over clusters by a self-organising map to the tests of their abundance between groups."""
+    inputs = {"events": fx.line_samples_many(spark, sf).drop("cluster", "cluster2"),
+              "metadata": fx.supplier_regions(spark, sf).withColumn("id", F.format_string("s%d", "sample_id"))}
+    config = _line_config(clusters={"method": "som", "k": 10}, cutoffs={"fixed": {c: LINE_CUTOFFS[c] for c in ("disc", "tax")}})
+    return ana.build(spark, config, inputs, scratch_folder(spark)).result("contrasts")
+
+
+@register("summary_export", ",\n".join([with_views("", "line_events").rstrip(), LINE_LABELS_CTE, _SUMMARY_SQL]) + f"""
+SELECT 'events' AS family, 'cluster' AS cluster_set, c.cluster, CAST(s.sample_id AS VARCHAR) AS item, CAST(coalesce(k.n, 0) AS DOUBLE) AS value, NULL AS labels
+  FROM (SELECT DISTINCT cluster FROM line_events) c CROSS JOIN (SELECT DISTINCT sample_id FROM line_events) s
+  LEFT JOIN (SELECT cluster, sample_id, count(*) AS n FROM line_events GROUP BY ALL) k ON k.cluster = c.cluster AND k.sample_id = s.sample_id
+UNION ALL SELECT 'PM', 'cluster', cluster, channel, NULL, string_agg(label, ',' ORDER BY label_no)
+  FROM summary WHERE label IN ('-', 'd', '+', '++', '-/d', '+/++') GROUP BY cluster, channel
+UNION ALL SELECT 'medians', 'cluster', cluster, channel,
+  round((median - avg(median) OVER (PARTITION BY cluster)) / nullif(stddev_samp(median) OVER (PARTITION BY cluster), 0), 6), NULL FROM ({_MED_SQL})""")
+def q_summary_export(spark, sf):
+    from cytospark.operators import report
+    made = report.summary_long(report.summary_tables(_labelled(spark, sf), ["cluster"], LC, THRESHOLD))
+    return made.withColumn("value", r6(F.col("value")))

@@ -108,6 +108,15 @@ def read_marker(spark: SparkSession, path: str) -> str:
 _SWEPT: set[str] = set()
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new path in the shared checkpoint folder, among this application's tables; it goes when the driver ends."""
+    root = _tables_root(spark)
+    if root not in _SWEPT:
+        _SWEPT.add(root)
+        atexit.register(_sweep, spark, root)
+    return f"{root}/{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a table in the shared checkpoint folder and read it back.
 
@@ -117,11 +126,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     earlier.
     """
     spark = df.sparkSession
-    root = _tables_root(spark)
-    if root not in _SWEPT:
-        _SWEPT.add(root)
-        atexit.register(_sweep, spark, root)
-    path = f"{root}/{uuid.uuid4().hex}"
+    path = scratch_folder(spark)
     df.write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._cytospark_path = path
