@@ -816,6 +816,11 @@ def q_knn(spark, sf):
     return g.select("src", "dst", "rank", r6(F.col("distance")).alias("distance"))
 
 
+@register("knn_approx")
+def q_knn_approx(spark, sf):
+    return nbr.knn_graph(fx.vec_events(spark, sf), VC, k=15, mode="approx")
+
+
 @register("jaccard", _KNN_SQL + """, nb AS (SELECT src, list(dst) AS n FROM knn GROUP BY src)
 SELECT k.src, k.dst, round(len(list_intersect(a.n, b.n)) / len(list_distinct(list_concat(a.n, b.n))), 6) AS weight,
   CAST(len(list_intersect(a.n, b.n)) AS INTEGER) AS shared
