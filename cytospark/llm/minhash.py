@@ -255,12 +255,6 @@ def confirmed_links(groups: DataFrame, docs: DataFrame, id_col: str, text_col: s
     return over_runs(dealt, ["rep", "bi", "bj"], lambda t: _confirm_run(t, threshold), "a binary, b binary").distinct()
 
 
-def _groups(links: DataFrame) -> DataFrame:
-    """``(node, rep)`` for every node that has a link; ``rep`` is the least node that it reaches."""
-    ends = links.select(F.col("a").alias("fp")).union(links.select(F.col("b").alias("fp"))).distinct()
-    return components(ends.withColumn("label", F.col("fp")), links).select(F.col("fp").alias("node"), "rep")
-
-
 def minhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS,
                        threshold: int = THRESHOLD, matches: int = MATCHES) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id`` (the least id that it reaches) and ``kept``."""
@@ -269,9 +263,9 @@ def minhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     nodes = cut_lineage(rows.where("n > 0").groupBy("node").agg(
         first, F.first("n").alias("n"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("rows")))
     near = cut_lineage(match_links(nodes, matches, threshold))
-    groups = cut_lineage(_groups(near).join(nodes.select("node", "n", "at.doc_id", "at.text_hash"), "node"))
+    groups = cut_lineage(components(near).join(nodes.select("node", "n", "at.doc_id", "at.text_hash"), "node"))
     links = cut_lineage(confirmed_links(groups, docs, id_col, text_col, shingle_words, threshold))
-    classes = nodes.select("node", "rows", F.col("at.doc_id").alias("least")).join(_groups(links), "node", "left") \
+    classes = nodes.select("node", "rows", F.col("at.doc_id").alias("least")).join(components(links), "node", "left") \
         .withColumn("rep", F.coalesce("rep", "node"))
     least = classes.groupBy("rep").agg(F.min("least").alias("component_id"))
     classes = cut_lineage(classes.join(least, "rep").select("node", "rows", "component_id"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from cytospark.llm import textops
-from cytospark.llm.common import fresh
+from cytospark.llm.common import fresh, join_classes
 from cytospark.session import cut_lineage, drop_cut
 
 SHINGLE_WORDS = 3
@@ -167,19 +167,14 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, hot_segment: int = HOT_SEGME
     return found
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Connected components: ``(fp, rep)`` for every node that has an edge, ``rep`` the smallest
-    label of its component.  ``nodes``: (fp, label), ``edges``: (a, b).
+def components(edges: DataFrame) -> DataFrame:
+    """Connected components of ``edges(a, b)``: ``(node, rep)`` for every node that has an edge, ``rep`` the least node that
+    it reaches.
 
     Each round turns every edge to the smallest neighbour of its larger end and then of its smaller
     end (alternating star contraction), which reaches a star per component in O(log² n) rounds; the
     edges of a round are a written table."""
-    lab = nodes.select("fp", "label")
-    u = cut_lineage(edges.join(lab.select(F.col("fp").alias("a"), F.col("label").alias("u")), "a")
-                    .join(lab.select(F.col("fp").alias("b"), F.col("label").alias("v")), "b")
-                    .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    if u.isEmpty():
-        return nodes.select("fp", F.col("label").alias("rep"))
+    u = cut_lineage(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     while True:
         both = u.select("u", "v").union(u.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
@@ -195,8 +190,13 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         u = new
         if same:
             break
-    star = u.select(F.col("u").alias("label"), F.col("v").alias("rep"))
-    return nodes.join(star, "label", "left").select("fp", F.coalesce("rep", "label").alias("rep"))
+    return u.select(F.col("u").alias("node"), F.col("v").alias("rep")).union(u.select(F.col("v").alias("node"), F.col("v").alias("rep")).distinct())
+
+
+def _with_rep(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """``nodes`` (one row per distinct ``fp``) with ``rep``, the least fingerprint that they reach."""
+    rep = components(cut_lineage(links(nodes, max_bits))).withColumnRenamed("node", "fp")
+    return nodes.join(rep, "fp", "left").withColumn("rep", F.coalesce("rep", "fp"))
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -204,30 +204,29 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per document: ``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id``, the
     smallest doc_id that it reaches over links of at most ``max_bits`` differing bits."""
     marked = cut_lineage(fingerprints(docs, id_col, text_col, shingle_words))
-    # One node per distinct fingerprint.  Fingerprints without any id are numbered beyond all ids by
-    # their own value, so that they too link others.
-    nodes = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("doc_id")))
-    label = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.col("fp")).alias("id"))
-    nodes = nodes.withColumn("label", label)
-    comp = components(nodes, cut_lineage(links(nodes, max_bits)))
-    classes = cut_lineage(comp.select("fp", F.when(~F.col("rep.none"), F.col("rep.id")).alias("component_id")))
-    return join_classes(marked, classes).select(
+    # One node per distinct fingerprint.
+    nodes = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")))
+    found = _with_rep(nodes, max_bits)
+    least = found.groupBy("rep").agg(F.min("least").alias("component_id"))
+    classes = cut_lineage(found.join(least, "rep").select("fp", "rows", "component_id"))
+    return join_classes(marked, classes, "fp", "rows").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def join_classes(marked: DataFrame, classes: DataFrame, salts: int = 32) -> DataFrame:
-    """Documents with the class of their fingerprint.  One fingerprint may hold a third of the
-    documents, so both sides are dealt over salts."""
-    left = marked.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
-    right = classes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, ["fp", "_salt"]).drop("_salt")
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest id (one row of it, if the
-    id is repeated).  Documents without an id cannot be named as members of a group and stay."""
-    comp = simhash_components(docs, id_col, text_col)
-    name = fresh(docs.columns, "_stay")
-    stay = comp.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(name)).distinct()
-    first = docs.where(F.col(id_col).isNotNull()).join(stay, F.col(id_col) == F.col(name), "left_semi")
-    return first.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS,
+             max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of each near-duplicate group: the one with the smallest id (rows without id last), of several with that id the
+    one whose text has the least digest, of equal rows one.  Rows count by id and text, so rows that share an id but not
+    their text are judged apart, and rows without an id like any other."""
+    digest = F.md5(F.coalesce(F.col(text_col), F.lit("")))
+    key = fresh(docs.columns, "_digest")
+    with_key = docs.withColumn(key, digest)
+    marked = cut_lineage(fingerprints(with_key.select(F.struct(id_col, key).alias("id"), text_col), "id", text_col, shingle_words))
+    first = F.min(F.struct(F.col(f"doc_id.{id_col}").isNull().alias("none"), F.col(f"doc_id.{id_col}").alias("id"), F.col(f"doc_id.{key}").alias("digest")))
+    nodes = cut_lineage(marked.groupBy("fp").agg(first.alias("first")))
+    stay = cut_lineage(_with_rep(nodes, max_bits).groupBy("rep").agg(F.min("first").alias("first")).select(
+        F.col("first.id").alias("_stay_id"), F.col("first.digest").alias("_stay_digest")))
+    names = {n: fresh(with_key.columns, n) for n in ("_stay_id", "_stay_digest")}
+    stay = stay.withColumnsRenamed(names)
+    same = F.col(id_col).eqNullSafe(F.col(names["_stay_id"])) & (F.col(key) == F.col(names["_stay_digest"]))
+    return with_key.join(stay, same, "left_semi").dropDuplicates([id_col, key]).drop(key)

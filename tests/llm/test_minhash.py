@@ -78,14 +78,14 @@ def test_blocks_give_the_same(spark):
     rows = near_copies(3, 200)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     nodes = minhash.marked(docs).where("n > 0").dropDuplicates(["node"])
-    whole = minhash._groups(minhash.match_links(nodes))
-    parts = minhash._groups(minhash.match_links(nodes, list_rows=4))
+    whole = minhash.components(minhash.match_links(nodes))
+    parts = minhash.components(minhash.match_links(nodes, list_rows=4))
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect()))
     groups = whole.join(nodes.select("node", "n", "doc_id", "text_hash"), "node")
     for limits in ({"group_rows": 5}, {"group_shingles": 900}):
         links = minhash.confirmed_links(groups, docs, "doc_id", "text", 3, **limits)
         full = minhash.confirmed_links(groups, docs, "doc_id", "text", 3)
-        assert sorted(map(tuple, minhash._groups(links).collect())) == sorted(map(tuple, minhash._groups(full).collect()))
+        assert sorted(map(tuple, minhash.components(links).collect())) == sorted(map(tuple, minhash.components(full).collect()))
 
 
 def test_edges(spark):

@@ -72,21 +72,34 @@ def test_links_are_complete_and_single_also_in_hot_buckets(spark, hot, bits):
 
 
 def test_long_chains_become_one_component(spark):
-    nodes = spark.range(200).selectExpr("id AS fp", "named_struct('none', false, 'id', (id * 37) % 200) AS label")
-    edges = spark.range(199).selectExpr("id AS a", "id + 1 AS b")
-    assert {r["rep"]["id"] for r in s.components(nodes, edges).collect()} == {0}
+    edges = spark.range(199).selectExpr("(id * 37) % 200 AS a", "((id + 1) * 37) % 200 AS b")
+    got = {r["node"]: r["rep"] for r in s.components(edges).collect()}
+    assert len(got) == 200 and set(got.values()) == {0}
+    assert s.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 def test_one_of_each_group_stays(docs_of):
     text = " ".join(f"word{i}" for i in range(50))
     rows = [(5, text), (3, text), (3, text), (9, "another text of its own"), (None, text), (11, None), (12, "")]
-    docs = docs_of(rows).selectExpr("*", "1 AS fp", "2 AS _stay", "3 AS component_id")
+    docs = docs_of(rows).selectExpr("*", "1 AS fp", "2 AS _stay", "3 AS component_id", "4 AS _digest", "5 AS _stay_id")
     out = s.keep_one(docs)
     assert out.columns == docs.columns
-    assert sorted((str(r["doc_id"]) for r in out.collect())) == ["11", "3", "9", "None"]
+    assert sorted((str(r["doc_id"]) for r in out.collect())) == ["11", "3", "9"]
     assert s.keep_one(docs_of([])).count() == 0 and s.simhash_components(docs_of([])).count() == 0
 
 
+def test_rows_with_one_id_are_judged_apart(docs_of):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+
+    def kept(rows):
+        return sorted(((r["doc_id"], r["text"][0]) for r in s.keep_one(docs_of(rows)).collect()), key=str)
+    assert kept([(1, a), (1, b), (2, c)]) == [(1, "a"), (1, "b"), (2, "c")]
+    assert kept([(1, a), (5, a), (5, b)]) == [(1, "a"), (5, "b")]
+    assert kept([(None, a)] * 3 + [(None, b), (4, b)]) == [(4, "b"), (None, "a")]
+    comp = {(r["doc_id"], r["fingerprint"]): r["component_id"] for r in s.simhash_components(docs_of([(1, a), (1, b), (5, b), (7, c)])).collect()}
+    assert sorted(comp.values()) == [1, 1, 1, 7]
+
+
 def test_text_of_many_shingle_blocks(monkeypatch):
     text = " ".join(f"w{i % 97}" for i in range(500))
     whole = s._fingerprint(text.encode(), 3, 42)
