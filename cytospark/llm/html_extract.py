@@ -219,11 +219,12 @@ def _model(holder) -> TreeModel:
 
 
 def extract(pages: DataFrame, html_col: str = "html", model: TreeModel | None = None, out: str = "text") -> DataFrame:
-    """``pages`` with the main text of every page in ``out`` instead of its html."""
+    """``pages`` with the main text of every page in ``out`` and its length in ``n_chars`` instead of its html; other
+    columns of these names, in any case, are replaced."""
     model = model or learn(pages, html_col)
     holder = pages.sparkSession.sparkContext.broadcast((model.weights, model.edges))
     at = pages.columns.index(html_col)
-    keep = [k for k in range(len(pages.columns)) if k != at]
+    keep = [k for k, c in enumerate(pages.columns) if k != at and c.lower() not in (out.lower(), "n_chars")]
     schema = StructType([pages.schema.fields[k] for k in keep] + [StructField(out, StringType()), StructField("n_chars", LongType())])
     names = [f.name for f in schema]
 

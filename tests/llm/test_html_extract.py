@@ -93,3 +93,11 @@ def test_table_pages_give_their_articles_and_odd_rows_pass(spark):
         assert found[r["page_id"]]["n_chars"] == len(found[r["page_id"]]["text"])
     assert right >= 0.95 * pages.count()
     assert H.extract(spark.createDataFrame([], pages.schema)).count() == 0
+
+
+def test_columns_with_the_names_of_results_are_replaced(spark):
+    from cytospark.llm import html_extract
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").selectExpr("page_id", "1 AS text", "html", "'x' AS N_CHARS", "2 AS block")
+    out = html_extract.extract(pages)
+    assert out.columns == ["page_id", "block", "text", "n_chars"]
+    assert all(r["n_chars"] == len(r["text"]) > 0 for r in out.collect())
