@@ -865,13 +865,20 @@ from cytospark.operators import kde as kd, som as sm  # noqa: E402
 
 @register("som")
 def q_som(spark, sf):
-    _, asg = sm.som(fx.vec_events(spark, sf), VC, xdim=5, ydim=5, rlen=5)
+    _, asg = sm.som(fx.vec_events(spark, sf), VC)
     return asg
 
 
 @register("som_clusters")
 def q_som_clusters(spark, sf):
-    return sm.som_clusters(fx.vec_events(spark, sf), VC, k=10, xdim=5, ydim=5, rlen=5, reps=20)
+    return sm.som_clusters(fx.vec_events(spark, sf), VC)
+
+
+@register("optimal_cluster_count")
+def q_optimal_cluster_count(spark, sf):
+    """PAC of every number of clusters from 2 to 28 for the 64 channels, 100 resamples each, and the one chosen."""
+    best, scores = sm.optimal_cluster_count(fx.vec_events(spark, sf), VC)
+    return spark.createDataFrame([(k, v, k == best) for k, v in sorted(scores.items())], "k int, pac double, chosen boolean")
 
 
 _PAIRS = [(a, b) for i, a in enumerate(VC) for j, b in enumerate(VC) if i < j]
