@@ -924,7 +924,7 @@ def q_centroid_grid(spark, sf):
 
 _BW = """st AS (SELECT sample_id, stddev_samp(value) AS sd, count(value) AS n, min(value) AS mn, max(value) AS mx,
     quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM stream_events WHERE value IS NOT NULL GROUP BY 1),
-bw AS (SELECT *, 0.9 * least(sd, (q3 - q1) / 1.34) * pow(n, -0.2) AS bw FROM st),
+bw AS (SELECT *, 0.9 * coalesce(nullif(least(sd, (q3 - q1) / 1.34), 0), nullif(sd, 0), nullif(abs(mn), 0), 1.0) * pow(n, -0.2) AS bw FROM st),
 grid AS (SELECT sample_id, i, (mn - 3.0 * bw) + i * (((mx + 3.0 * bw) - (mn - 3.0 * bw)) / 49) AS x, bw, n FROM bw, range(50) t(i))"""
 
 
@@ -937,12 +937,26 @@ def q_density1d(spark, sf):
     return d.select("sample_id", "channel", "i", r6(F.col("x")).alias("x"), r6(F.col("density")).alias("density"))
 
 
+# The same over a channel that is zero in four events of five, as channels without signal are.
+_ZEROS_CTE = "stream_zeros AS (SELECT sample_id, event_id, CASE WHEN event_id % 5 = 0 THEN value ELSE 0 END AS value FROM stream_events)"
+
+
+@register("density_zeros", with_views("", "stream_events").rstrip() + ",\n" + _ZEROS_CTE + ",\n" + _BW.replace("FROM stream_events", "FROM stream_zeros") + """
+SELECT g.sample_id, 'value' AS channel, CAST(g.i AS INTEGER) AS i, round(g.x, 6) AS x,
+  round(sum(exp(-0.5 * ((g.x - e.value) / g.bw) * ((g.x - e.value) / g.bw))) / (g.n * g.bw * sqrt(2 * pi())), 6) AS density
+  FROM grid g JOIN stream_zeros e ON e.sample_id = g.sample_id AND e.value IS NOT NULL GROUP BY g.sample_id, g.i, g.x, g.n, g.bw""")
+def q_density_zeros(spark, sf):
+    ev = fx.stream_events(spark, sf).withColumn("value", F.when(F.col("event_id") % 5 == 0, F.col("value")).otherwise(0.0))
+    d = kd.density_curves(ev, ["value"], n_grid=50)
+    return d.select("sample_id", "channel", "i", r6(F.col("x")).alias("x"), r6(F.col("density")).alias("density"))
+
+
 _BW2 = """sx AS (SELECT stddev_samp(c1) AS sd, count(*) AS n, min(c1) AS mn, max(c1) AS mx, quantile_cont(c1, 0.25) AS q1,
     quantile_cont(c1, 0.75) AS q3 FROM vec_events),
 sy AS (SELECT stddev_samp(c2) AS sd, count(*) AS n, min(c2) AS mn, max(c2) AS mx, quantile_cont(c2, 0.25) AS q1,
     quantile_cont(c2, 0.75) AS q3 FROM vec_events),
-h AS (SELECT greatest(4 * 1.06 * least(sx.sd, (sx.q3 - sx.q1) / 1.34) * pow(sx.n, -0.2),
-                      4 * 1.06 * least(sy.sd, (sy.q3 - sy.q1) / 1.34) * pow(sy.n, -0.2)) / 4 AS s, sx.n AS n,
+h AS (SELECT greatest(4 * 1.06 * coalesce(nullif(least(sx.sd, (sx.q3 - sx.q1) / 1.34), 0), nullif(sx.sd, 0), nullif(abs(sx.mn), 0), 1.0) * pow(sx.n, -0.2),
+                      4 * 1.06 * coalesce(nullif(least(sy.sd, (sy.q3 - sy.q1) / 1.34), 0), nullif(sy.sd, 0), nullif(abs(sy.mn), 0), 1.0) * pow(sy.n, -0.2)) / 4 AS s, sx.n AS n,
     sx.mn AS xlo, sx.mx AS xhi, sy.mn AS ylo, sy.mx AS yhi FROM sx, sy),
 g AS (SELECT i, j, xlo + i * ((xhi - xlo) / 49) AS gx, ylo + j * ((yhi - ylo) / 49) AS gy, s, n FROM h, range(50) a(i), range(50) b(j))"""
 
