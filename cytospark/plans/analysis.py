@@ -30,7 +30,7 @@ DEFAULTS: dict[str, dict] = {
     "panel": {"reconcile": False, "name_remap": {}},
     "compensate": {"enabled": False},
     "beads": {"enabled": False, "bead_channels": [], "dna_channels": [], "mass_channels": [], "k": 500, "bead_q": 0.9, "dna_q": 0.5},
-    "debarcode": {"enabled": False, "channels": [], "cutoff": 0.1},
+    "debarcode": {"enabled": False, "channels": [], "cutoff": 0.1, "separate": False},
     "outliers": {"enabled": False, "size": 500, "z_cutoff": 3.0, "density_frac": 0.1},
     "metadata": {"impute_numeric": [], "impute_categorical": [], "reference": {}},
     "transform": {"b": 1 / 150},
@@ -163,8 +163,10 @@ def build(spark: SparkSession, config: Mapping, inputs: Mapping[str, DataFrame],
         step("normalised", "beads", lambda d, r: beads.bead_normalize(d, b["bead_channels"], b["dna_channels"], b["mass_channels"] or b["bead_channels"],
                                                                       k=b["k"], bead_q=b["bead_q"], dna_q=b["dna_q"]), beads.bead_normalize)
     if c["debarcode"]["enabled"]:
-        step("debarcoded", "debarcode", lambda d, r: preprocess.debarcode(d, r["barcodes"], c["debarcode"]["channels"], c["debarcode"]["cutoff"]),
-             preprocess.debarcode, "barcodes")
+        def assigned(d, r):
+            found = preprocess.debarcode(d, r["barcodes"], c["debarcode"]["channels"], c["debarcode"]["cutoff"])
+            return preprocess.separate_samples(found)[0] if c["debarcode"]["separate"] else found
+        step("debarcoded", "debarcode", assigned, preprocess.debarcode, "barcodes")
     names = c["channels"]["names"]
     if names is None and c["panel"]["reconcile"]:
         # One row per channel: the sheet is as long as the panel's list of channels.

@@ -710,6 +710,40 @@ def q_debarcode(spark, sf):
     return d.select("sample_id", "event_id", "code", r6(F.col("separation")).alias("separation"), "barcode_sample")
 
 
+# Codes with one to three positive channels.
+BARCODE_KEY_VARYING = [("s_q", 1, 0, 0, 0), ("s_qp", 1, 1, 0, 0), ("s_dt", 0, 0, 1, 1), ("s_pdt", 0, 1, 1, 1), ("s_t", 0, 0, 0, 1)]
+_VARYING_CTE = """scaled AS (SELECT sample_id, event_id, list_sort([{'v': qty / q1, 'c': 'qty'}, {'v': price / q2, 'c': 'price'},
+    {'v': disc / q3, 'c': 'disc'}, {'v': tax / q4, 'c': 'tax'}], 'DESC') AS s FROM line_events JOIN (
+  SELECT sample_id, quantile_cont(qty, 0.95) AS q1, quantile_cont(price, 0.95) AS q2, quantile_cont(disc, 0.95) AS q3,
+    quantile_cont(tax, 0.95) AS q4 FROM line_events GROUP BY 1) USING (sample_id)),
+gaps AS (SELECT *, [s[1].v - s[2].v, s[2].v - s[3].v, s[3].v - s[4].v] AS g FROM scaled),
+cut AS (SELECT sample_id, event_id, list_max(g) AS separation,
+  array_to_string(list_sort(list_transform(s[1:list_position(g, list_max(g))], lambda x: x.c)), ',') AS code FROM gaps),
+coded AS (SELECT cut.*, k.code_sample FROM cut LEFT JOIN (VALUES ('qty', 's_q'), ('price,qty', 's_qp'), ('disc,tax', 's_dt'),
+  ('disc,price,tax', 's_pdt'), ('tax', 's_t')) k(code, code_sample) USING (code))"""
+
+
+def _varying(spark, sf, cutoff):
+    key = spark.createDataFrame(BARCODE_KEY_VARYING, "barcode_sample string, qty int, price int, disc int, tax int")
+    return pre.debarcode(fx.line_events(spark, sf), key, LC, cutoff=cutoff)
+
+
+@register("debarcode_varying", with_views("", "line_events").rstrip() + ",\n" + _VARYING_CTE + """
+SELECT sample_id, event_id, code, round(separation, 6) AS separation, CASE WHEN separation >= 0.1 THEN code_sample END AS barcode_sample FROM coded""")
+def q_debarcode_varying(spark, sf):
+    return _varying(spark, sf, 0.1).select("sample_id", "event_id", "code", r6(F.col("separation")).alias("separation"), "barcode_sample")
+
+
+@register("barcode_yields", with_views("", "line_events").rstrip() + ",\n" + _VARYING_CTE + """
+SELECT barcode_sample, cutoff, n, round(n / max(n) OVER (PARTITION BY barcode_sample), 6) AS share FROM (
+  SELECT k.code_sample AS barcode_sample, i / 100.0 AS cutoff, count(c.separation) AS n
+  FROM (SELECT DISTINCT code_sample FROM coded WHERE code_sample IS NOT NULL) k CROSS JOIN range(101) t(i)
+  LEFT JOIN coded c ON c.code_sample = k.code_sample AND least(floor(c.separation * 100), 100) >= i GROUP BY ALL)""")
+def q_barcode_yields(spark, sf):
+    y = pre.yield_curves(_varying(spark, sf, 0.0))
+    return y.select("barcode_sample", "cutoff", "n", r6(F.col("share")).alias("share"))
+
+
 @register("rescale_quantile", with_views("""SELECT sample_id, event_id, """ + ", ".join(
     f"round({c} / quantile_cont({c}, 0.95) OVER (PARTITION BY sample_id), 6) AS {c}" for c in ("qty", "price")) + """ FROM (
   SELECT sample_id, event_id, asinh(greatest(qty - 1.0, 0) / 5) AS qty, asinh(greatest(price - 1.0, 0) / 5) AS price
