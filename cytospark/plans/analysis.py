@@ -29,7 +29,7 @@ DEFAULTS: dict[str, dict] = {
     "channels": {"names": None, "type": "cytof", "exclude": EXCLUDED_CHANNELS_RE},
     "panel": {"reconcile": False, "name_remap": {}},
     "compensate": {"enabled": False},
-    "beads": {"enabled": False, "bead_channels": [], "dna_channels": [], "mass_channels": [], "k": 500, "bead_q": 0.9, "dna_q": 0.5},
+    "beads": {"enabled": False, "bead_channels": [], "dna_channels": [], "mass_channels": [], "k": 500, "gate": "valley", "bead_q": 0.9, "dna_q": 0.5},
     "debarcode": {"enabled": False, "channels": [], "cutoff": 0.1, "separate": False},
     "outliers": {"enabled": False, "size": 500, "z_cutoff": 3.0, "density_frac": 0.1},
     "metadata": {"impute_numeric": [], "impute_categorical": [], "reference": {}},
@@ -78,6 +78,8 @@ def validated(config: Mapping) -> dict[str, dict]:
         faults.append("merge.by must be clusters or events")
     if full["beads"]["enabled"] and not full["beads"]["bead_channels"]:
         faults.append("beads.bead_channels must be given")
+    if full["beads"]["gate"] not in ("valley", "quantile"):
+        faults.append("beads.gate must be valley or quantile")
     if full["debarcode"]["enabled"] and not full["debarcode"]["channels"]:
         faults.append("debarcode.channels must be given")
     if full["output"]["by_cluster"] and not full["output"]["folder"]:
@@ -161,7 +163,7 @@ def build(spark: SparkSession, config: Mapping, inputs: Mapping[str, DataFrame],
     b = c["beads"]
     if b["enabled"]:
         step("normalised", "beads", lambda d, r: beads.bead_normalize(d, b["bead_channels"], b["dna_channels"], b["mass_channels"] or b["bead_channels"],
-                                                                      k=b["k"], bead_q=b["bead_q"], dna_q=b["dna_q"]), beads.bead_normalize)
+                                                                      k=b["k"], bead_q=b["bead_q"], dna_q=b["dna_q"], gate=b["gate"]), beads.bead_normalize)
     if c["debarcode"]["enabled"]:
         def assigned(d, r):
             found = preprocess.debarcode(d, r["barcodes"], c["debarcode"]["channels"], c["debarcode"]["cutoff"])

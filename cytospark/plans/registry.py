@@ -828,7 +828,13 @@ def q_bead_interpolate(spark, sf):
 
 @register("bead_normalize")
 def q_bead_normalize(spark, sf):
-    return bds.bead_normalize(fx.stream_events(spark, sf), ["value"], [], ["value"], k=100)
+    return bds.bead_normalize(fx.stream_events(spark, sf), ["value"], [], ["value"], k=100, gate="quantile")
+
+
+@register("bead_gate")
+def q_bead_gate(spark, sf):
+    """Where the beads of every sample of the stream begin, if its values have two populations."""
+    return bds.bead_thresholds(fx.stream_events(spark, sf), ["value"])
 
 
 # ------------------------------------------------------------------ G1, G2
