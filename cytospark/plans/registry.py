@@ -871,7 +871,7 @@ def q_jaccard(spark, sf):
     return j.select("src", "dst", r6(F.col("weight")).alias("weight"), F.col("shared").cast("int").alias("shared"))
 
 
-# ------------------------------------------------------------------ G3, G8, G9 (rows-only: checked on planted data)
+# ------------------------------------------------------------------ G3 (rows-only: checked on planted data), G8, G9
 from cytospark.operators import community as cmt, density as dns  # noqa: E402
 
 
@@ -880,14 +880,38 @@ def q_phenograph(spark, sf):
     return cmt.phenograph(fx.vec_events(spark, sf), VC, k=15, cell_size=100)
 
 
-@register("xshift")
-def q_xshift(spark, sf):
-    return dns.xshift(fx.vec_events(spark, sf), VC, k=15, cell_size=100)
+_RHO_SQL = _KNN_SQL.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + """,
+rho AS (SELECT src, 1.0 / avg(distance) AS rho FROM knn GROUP BY src)"""
+# Every event's root: parents are followed until one is its own.
+_ROOTS_SQL = """walk AS (SELECT node, parent AS at FROM par UNION ALL
+  SELECT w.node, p.parent FROM walk w JOIN par p ON p.node = w.at WHERE p.parent <> w.at),
+roots AS (SELECT w.node, w.at AS root FROM walk w JOIN par p ON p.node = w.at WHERE p.parent = p.node)"""
 
 
-@register("density_peaks")
+@register("xshift", _RHO_SQL + """,
+e AS (SELECT k.src, k.dst, s.rho AS rs, d.rho AS rd FROM knn k JOIN rho s ON s.src = k.src JOIN rho d ON d.src = k.dst),
+up AS (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY rd DESC, dst) AS i FROM e WHERE rd > rs OR (rd = rs AND dst < src)),
+par AS (SELECT r.src AS node, r.rho, coalesce(u.dst, r.src) AS parent FROM rho r LEFT JOIN up u ON u.src = r.src AND u.i = 1),
+""" + _ROOTS_SQL + """
+SELECT node AS event_id, CAST(root AS VARCHAR) AS cluster, round(rho, 6) AS rho FROM roots JOIN par USING (node)""")
+def q_xshift(spark, sf):
+    return dns.xshift(fx.vec_events(spark, sf), VC, k=15, cell_size=100).withColumn("rho", r6(F.col("rho")))
+
+
+@register("density_peaks", _RHO_SQL + f""",
+denser AS (SELECT a.event_id AS src, b.event_id AS dst, sqrt({_DIST}) AS distance,
+    row_number() OVER (PARTITION BY a.event_id ORDER BY sqrt({_DIST}), b.event_id) AS i
+  FROM vec_events a JOIN rho ra ON ra.src = a.event_id, vec_events b JOIN rho rb ON rb.src = b.event_id
+  WHERE rb.rho > ra.rho OR (rb.rho = ra.rho AND b.event_id < a.event_id)),
+t AS (SELECT r.src AS node, r.rho, n.dst, n.distance AS delta FROM rho r LEFT JOIN denser n ON n.src = r.src AND n.i = 1),
+st AS (SELECT avg(rho) AS mr, stddev_samp(rho) AS sr, avg(delta) AS md, stddev_samp(delta) AS sd, max(delta) AS xd FROM t),
+par AS (SELECT node, rho, coalesce(delta, xd) AS delta, CASE WHEN dst IS NULL OR (rho > mr + 2 * coalesce(sr, 0)
+    AND coalesce(delta, xd) > md + 2 * coalesce(sd, 0)) THEN node ELSE dst END AS parent FROM t, st),
+""" + _ROOTS_SQL + """
+SELECT node AS event_id, CAST(root AS VARCHAR) AS cluster, round(rho, 6) AS rho, round(delta, 6) AS delta FROM roots JOIN par USING (node)""")
 def q_density_peaks(spark, sf):
-    return dns.density_peaks(fx.vec_events(spark, sf), VC, k=15, cell_size=100)
+    d = dns.density_peaks(fx.vec_events(spark, sf), VC, k=15, cell_size=100)
+    return d.withColumn("rho", r6(F.col("rho"))).withColumn("delta", r6(F.col("delta")))
 
 
 # ------------------------------------------------------------------ L5 (rows-only: checked on planted data and against plain steps)

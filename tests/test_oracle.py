@@ -37,9 +37,10 @@ def con():
 
 
 def test_every_query_has_a_callable_and_most_an_oracle():
+    from cytospark.plans.registry import ORACLE, QUERIES
     q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert len(o) >= 0.8 * len(q)
+    assert set(o) <= set(q) and set(ORACLE) <= set(QUERIES) <= set(q)
+    assert len(ORACLE) >= 0.8 * len(QUERIES)
 
 
 @pytest.mark.parametrize("name", SUBSET)
