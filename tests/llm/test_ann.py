@@ -56,3 +56,25 @@ def test_graph_survives_its_flat_form():
     assert all((a == b).all() for a, b in zip(g.links, h.links))
     assert (g.search(x[:20], 5, 40) == h.search(x[:20], 5, 40)).all()
     assert (g.search(x[:20], 1, 40)[:, 0] == np.arange(20)).all()
+
+
+def test_multiples_of_a_vector_tie(spark):
+    """A third of all vectors have one direction, at many lengths: their ties go to the smallest ids."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1500, 16))
+    ids = rng.permutation(1500)
+    x[:500] = x[0] * (2.0 ** rng.integers(-8, 8, 500))[:, None]
+    whole = np.round(rng.normal(size=16) * 8)
+    x[500:900] = whole * rng.integers(1, 200, 400)[:, None]
+    df = spark.createDataFrame([(int(i), v.tolist(), 0) for i, v in zip(ids, x)], "vec_id long, embedding array<double>, label int")
+    got = {}
+    for r in ann.nearest(df, query="vec_id % 10 = 0", shard_rows=400).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    at = {int(i): k for k, i in enumerate(ids)}
+    seen = 0
+    for q, found in got.items():
+        for low, high in ((0, 500), (500, 900)):
+            if low <= at[q] < high:
+                seen += 1
+                assert found == sorted(i for i in ids[low:high].tolist() if i != q)[:5]
+    assert seen > 60
