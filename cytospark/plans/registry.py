@@ -905,7 +905,7 @@ denser AS (SELECT a.event_id AS src, b.event_id AS dst, sqrt({_DIST}) AS distanc
   WHERE rb.rho > ra.rho OR (rb.rho = ra.rho AND b.event_id < a.event_id)),
 t AS (SELECT r.src AS node, r.rho, n.dst, n.distance AS delta FROM rho r LEFT JOIN denser n ON n.src = r.src AND n.i = 1),
 st AS (SELECT avg(rho) AS mr, stddev_samp(rho) AS sr, avg(delta) AS md, stddev_samp(delta) AS sd, max(delta) AS xd FROM t),
-par AS (SELECT node, rho, coalesce(delta, xd) AS delta, CASE WHEN dst IS NULL OR (rho > mr + 2 * coalesce(sr, 0)
+par AS (SELECT node, rho, coalesce(delta, xd) AS delta, CASE WHEN dst IS NULL OR (rho > mr
     AND coalesce(delta, xd) > md + 2 * coalesce(sd, 0)) THEN node ELSE dst END AS parent FROM t, st),
 """ + _ROOTS_SQL + """
 SELECT node AS event_id, CAST(root AS VARCHAR) AS cluster, round(rho, 6) AS rho, round(delta, 6) AS delta FROM roots JOIN par USING (node)""")
