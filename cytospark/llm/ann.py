@@ -2,7 +2,7 @@
 
 Vectors of one direction are one node that keeps the k+1 smallest ids, which is all that a list of k neighbours can
 show of them: a vector is divided by its largest component's size, which gives the same numbers for all multiples of
-it, and cosines are measured on these, so that they tie to the bit.  Nodes are dealt to shards of about ``shard_rows`` by a hash; a shard's graph is
+it, and the cosine of the smallest id counts for all, so that they tie to the bit.  Nodes are dealt to shards of about ``shard_rows`` by a hash; a shard's graph is
 built in one task and stored as flat arrays in a table.  Blocks of queries meet every shard's arrays,
 the best found are measured exactly in double precision, and the shards' lists are merged.
 
@@ -38,11 +38,13 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 def build_index(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """``dim, shard, graph (array<binary>), vectors (binary doubles), ids (array<array<long>>)`` per shard."""
-    by_vector = Window.partitionBy("v").orderBy("vec_id")
+    # A direction is known by two hashes of its numbers; its node has the vector of its smallest id.
     top = F.array_max(F.transform("v", F.abs))
-    turned = rows.withColumn("_top", top).withColumn("v", F.transform("v", lambda x: x / F.col("_top"))).drop("_top")
-    nodes = cut_lineage(turned.withColumn("r", F.row_number().over(by_vector)).where(F.col("r") <= k + 1)
-                        .groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
+    turned = rows.withColumn("_top", top).withColumn("_u", F.transform("v", lambda x: x / F.col("_top"))) \
+        .select("vec_id", "v", F.xxhash64("_u").alias("a"), F.xxhash64(F.lit(1), "_u").alias("b"))
+    by_direction = Window.partitionBy("a", "b").orderBy("vec_id")
+    nodes = cut_lineage(turned.withColumn("r", F.row_number().over(by_direction)).where(F.col("r") <= k + 1)
+                        .groupBy("a", "b").agg(F.min_by("v", "vec_id").alias("v"), F.sort_array(F.collect_list("vec_id")).alias("ids")))
     shards = max(1, -(-nodes.count() // shard_rows))
     dealt = nodes.select(F.size("v").alias("dim"), F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int").alias("shard"), "v", "ids")
 
