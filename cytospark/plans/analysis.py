@@ -205,8 +205,9 @@ def build(spark: SparkSession, config: Mapping, inputs: Mapping[str, DataFrame],
         if fixed:
             rows = [(name, i + 1, float(x)) for name, cuts in fixed.items() for i, x in enumerate(sorted(cuts))]
             given = spark.createDataFrame(rows, "channel string, cut_no int, cutoff double")
-            parts.append(r["transformed"].select("sample_id").distinct().join(F.broadcast(given)).select("sample_id", "channel", "cut_no", "cutoff"))
-        kinds = {f.name: f.dataType for f in parts[0].schema.fields}
+            parts.append(r["transformed"].select("sample_id").distinct().join(F.broadcast(given))
+                         .select("sample_id", "channel", "cut_no", "cutoff", F.lit("fixed").alias("method")))
+        kinds = {f.name: f.dataType for f in parts[0].schema.fields if f.name in ("sample_id", "channel", "cut_no", "cutoff", "method")}
         parts = [p.select(*[F.col(n).cast(t).alias(n) for n, t in kinds.items()]) for p in parts]
         return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     g.add("cutoffs", cut, ["transformed"], {**k, "channels": names}, [cutpoints.find_cutoffs])

@@ -125,6 +125,16 @@ def planted(spark):
         spark.createDataFrame(meta, "sample_id int, id string, group string")
 
 
+def test_some_cut_points_given_and_some_searched(spark, tmp_path):
+    events, _ = planted(spark)
+    config = {"transform": {"b": None}, "cutoffs": {"fixed": {"a": [2.5]}, "bins": 2}, "models": {"enabled": False}}
+    g = analysis.build(spark, config, {"events": events}, str(tmp_path / "run"))
+    rows = g.result("cutoffs").collect()
+    assert {r["cutoff"] for r in rows if r["channel"] == "a"} == {2.5} and {r["channel"] for r in rows} == {"a", "b", "c"}
+    assert all(0 < r["cutoff"] < 5 for r in rows) and len(rows) == 24 and {r["method"] for r in rows if r["channel"] != "a"} <= {"silhouette", "mean"}
+    assert g.result("labelled").where("a__pm IS NULL OR b__pm IS NULL").count() == 0
+
+
 def test_planted_analysis(spark, tmp_path):
     events, meta = planted(spark)
     fixed = {x: [1.0, 2.5, 6.0] for x in "abc"}
