@@ -15,6 +15,9 @@ counts; vectors of different length are never neighbours; a query with fewer tha
 them all that were found; an empty table gives an empty result."""
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -36,15 +39,27 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return src.where(fine).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
+def with_direction(rows: DataFrame) -> DataFrame:
+    """``rows`` (vec_id, v) with ``way``, a 128-bit digest of the vector over its largest component's size."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ways = []
+            for at in range(0, batch.num_rows, 512):
+                part = batch.column(1).slice(at, 512)
+                flat, size = part.flatten().to_numpy(), np.diff(part.offsets.to_numpy())
+                start = np.cumsum(size) - size
+                # Adding zero makes -0.0 the same number as 0.0.
+                turned = flat / np.repeat(np.maximum.reduceat(np.abs(flat), start), size) + 0.0
+                ways += [hashlib.blake2b(turned[s:s + n].tobytes(), digest_size=16).digest() for s, n in zip(start, size)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ways, pa.binary())], names=["vec_id", "v", "way"])
+    return rows.mapInArrow(run, f"vec_id {rows.schema['vec_id'].dataType.simpleString()}, v array<double>, way binary")
+
+
 def build_index(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """``dim, shard, graph (array<binary>), vectors (binary doubles), ids (array<array<long>>)`` per shard."""
-    # A direction is known by two hashes of its numbers; its node has the vector of its smallest id.
-    top = F.array_max(F.transform("v", F.abs))
-    turned = rows.withColumn("_top", top).withColumn("_u", F.transform("v", lambda x: x / F.col("_top"))) \
-        .select("vec_id", "v", F.xxhash64("_u").alias("a"), F.xxhash64(F.lit(1), "_u").alias("b"))
-    by_direction = Window.partitionBy("a", "b").orderBy("vec_id")
-    nodes = cut_lineage(turned.withColumn("r", F.row_number().over(by_direction)).where(F.col("r") <= k + 1)
-                        .groupBy("a", "b").agg(F.min_by("v", "vec_id").alias("v"), F.sort_array(F.collect_list("vec_id")).alias("ids")))
+    by_direction = Window.partitionBy("way").orderBy("vec_id")
+    nodes = cut_lineage(with_direction(rows).withColumn("r", F.row_number().over(by_direction)).where(F.col("r") <= k + 1)
+                        .groupBy("way").agg(F.min_by("v", "vec_id").alias("v"), F.sort_array(F.collect_list("vec_id")).alias("ids")))
     shards = max(1, -(-nodes.count() // shard_rows))
     dealt = nodes.select(F.size("v").alias("dim"), F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int").alias("shard"), "v", "ids")
 
