@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from cytospark.llm import textops
-from cytospark.llm.common import fresh, join_classes
+from cytospark.llm.common import fresh, join_classes, small_side
 from cytospark.session import cut_lineage, drop_cut
 
 SHINGLE_WORDS = 3
@@ -109,6 +109,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, hot_segment: int = HOT_SEGME
     hot_keys = cut_lineage(_variants(hot, F.col("value"), width, "seg", "pos", "key").select("seg", "pos", "key").distinct())
     keyed = _variants(base, F.col("value"), width, "seg", "pos", "key").select("seg", "pos", "key", "fp")
     some_hot = not hot_keys.isEmpty()
+    if some_hot:
+        hot_keys, _ = small_side(hot_keys)
     plain = keyed.join(hot_keys, ["seg", "pos", "key"], "left_anti") if some_hot else keyed
 
     def first_close_segment(diff: Column, seg: Column) -> Column:
@@ -128,7 +130,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, hot_segment: int = HOT_SEGME
             cond = cond & extra(diff)
         for k in keys:
             cond = cond & (F.col(f"a_{k}") == F.col(f"b_{k}"))
-        return a.join(b, cond).select("a", "b")
+        # Spark sizes the variants like the fingerprints that they were made from: unasked it would broadcast them.
+        return a.join(b.hint("merge"), cond).select("a", "b")
     found = matched(plain, ["seg", "pos", "key"])
     if some_hot:
         # The rest of the fingerprint differs in at most max_bits bits: cut it once more into as many

@@ -3,6 +3,7 @@ from itertools import combinations
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from cytospark.llm import simhash as s
 
@@ -71,6 +72,16 @@ def test_links_are_complete_and_single_also_in_hot_buckets(spark, hot, bits):
     assert len(got) == len(want) and set(got) == want
 
 
+@pytest.mark.parametrize("hot", [2048, 10])
+def test_variants_are_never_broadcast(spark, tmp_path, hot):
+    """A small file of fingerprints becomes 64 times as many rows; Spark takes them for as small as the file."""
+    spark.range(2000).select(F.xxhash64("id").bitwiseAND(~0xFFFFFFFF).bitwiseOR(F.col("id") % 50).alias("fp")).distinct().write.parquet(f"{tmp_path}/fps")
+    found = s.links(spark.read.parquet(f"{tmp_path}/fps"), 2, hot)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join Inner" in line]
+    assert len(joins) == (2 if hot == 10 else 1) and all("strategy=merge" in j for j in joins), joins
+
+
 def test_long_chains_become_one_component(spark):
     edges = spark.range(199).selectExpr("(id * 37) % 200 AS a", "((id + 1) * 37) % 200 AS b")
     got = {r["node"]: r["rep"] for r in s.components(edges).collect()}
