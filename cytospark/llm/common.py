@@ -20,28 +20,29 @@ def fresh(taken, name: str) -> str:
     return name
 
 
-def bytes_of(df: DataFrame, text_col: str | None = None, per_row: int = 32) -> int:
+def bytes_of(df: DataFrame, text_col: str | Column | None = None, per_row: int = 32) -> int:
     """Size of a narrow table: ``per_row`` bytes a row plus the bytes of one text column."""
-    text = F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)) if text_col else F.lit(0)
+    text = F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)) if text_col is not None else F.lit(0)
     return df.agg((F.count(F.lit(1)) * per_row + text).alias("b")).first()["b"]
 
 
-def small_side(df: DataFrame, text_col: str | None = None, per_row: int = 32,
+def small_side(df: DataFrame, text_col: str | Column | None = None, per_row: int = 32,
                max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
-    """``df``, marked for broadcast if its measured size allows, and whether it was marked.  Without
-    the mark the caller joins by shuffle.  ``df`` should be cheap to read again (a cut table)."""
+    """``df``, marked for broadcast if its measured size allows and for a shuffle join if not (Spark, which
+    goes by the size of files, might broadcast it), and whether it is to be broadcast.  ``df`` should be
+    cheap to read again (a cut table)."""
     if bytes_of(df, text_col, per_row) <= max_bytes:
         return F.broadcast(df), True
-    return df, False
+    return df.hint("merge"), False
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, salt_by: Column, salts: int = 32) -> DataFrame:
     """Left join on ``key`` that spreads each key of ``left`` over ``salts`` tasks; ``right`` (one row
-    a key) is repeated ``salts`` times."""
+    a key) is repeated ``salts`` times, which Spark leaves out of its size: it is never broadcast."""
     s = fresh(left.columns + right.columns, "_salt")
     left = left.withColumn(s, F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
     right = right.withColumn(s, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [key, s], "left").drop(s)
+    return left.join(right.hint("merge"), [key, s], "left").drop(s)
 
 
 # A key with more than this share of all rows is joined by broadcast; there are at most as many such keys as its inverse.

@@ -231,5 +231,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
         F.col("first.id").alias("_stay_id"), F.col("first.digest").alias("_stay_digest")))
     names = {n: fresh(with_key.columns, n) for n in ("_stay_id", "_stay_digest")}
     stay = stay.withColumnsRenamed(names)
+    stay, _ = small_side(stay, F.concat_ws("", *names.values()))
     same = F.col(id_col).eqNullSafe(F.col(names["_stay_id"])) & (F.col(key) == F.col(names["_stay_digest"]))
     return with_key.join(stay, same, "left_semi").dropDuplicates([id_col, key]).drop(key)

@@ -2,7 +2,9 @@ import random
 import re
 from collections import Counter
 
-from cytospark.llm import quality_rules as q, textops
+from pyspark.sql import functions as F
+
+from cytospark.llm import common, quality_rules as q, textops
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -55,6 +57,15 @@ def test_salted_join_gives_the_same_verdicts(docs_of, monkeypatch):
     assert sorted(map(tuple, q.quality_rules(docs_of(rows)).collect())) == want
 
 
+def test_salted_side_is_never_broadcast(spark):
+    hosts = spark.range(20).selectExpr("concat('h', id) AS host", "true AS bad")
+    joined = common.salted_join(spark.range(100).selectExpr("id", "concat('h', id % 30) AS host"), hosts, "host", F.col("id"))
+    assert sorted((r["id"], r["bad"]) for r in joined.collect()) == [(i, True if i % 30 < 20 else None) for i in range(100)]
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    side, small = common.small_side(hosts, max_bytes=1)
+    assert not small and "Broadcast" not in joined.join(side.drop("bad"), "host")._jdf.queryExecution().executedPlan().toString()
+
+
 def test_filter_keeps_columns_and_survives_clashes_and_empty_tables(docs_of):
     rows = [(i, " ".join(f"wordy{j}" for j in range(60)), "en", "h") for i in range(5)] + [(9, "", "en", "h")]
     docs = docs_of(rows).selectExpr("*", "1 AS n_words", "2 AS kept", "3 AS _host", "4 AS _qr_n_words")
